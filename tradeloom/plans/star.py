@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators import dimensions, facts, intermediate, quality, staging
 from tradeloom.operators.merge import merge_into, recent_days, since_target
+from tradeloom.session import in_parallel
 from tradeloom.sources.tables import KeyedTable
 
 SNAPSHOT_LOOKBACK_DAYS = 90
@@ -65,18 +65,29 @@ class StarBuild:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def run(self) -> None:
-        """Stage, then dimensions, then facts."""
+        """Stage, then dimensions and facts, which need only staging tables."""
         self._stage()
-        self._dimensions()
-        self._facts()
+        writes: dict[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]] = {}
+        writes.update({name: (rows, self._kept) for name, rows in self._dimensions().items()})
+        writes.update({name: (rows, self._merge_fact) for name, rows in self._facts().items()})
+        self.tables.update(self._each(writes))
 
     # Orders are read by nine tables. They are parsed once and kept as nested
-    # parquet, from which every reader takes only its columns.
+    # parquet, from which every reader takes only its columns. The other kept
+    # staging tables have several readers too.
     def _stage(self) -> None:
         raw, t = self.raw, self.tables
-        parsed = KeyedTable(self.spark, f"{self.out_dir}/stg_orders", ["order_id"])
-        parsed.replace(staging.orders(raw["orders"], keep=[f.name for f in staging.ORDERS]))
-        t["stg_orders"] = parsed.read()
+        parsed = staging.orders(raw["orders"], keep=[f.name for f in staging.ORDERS])
+        t.update(
+            self._each(
+                {
+                    "stg_orders": (parsed, self._kept),
+                    "stg_inventory_adjustments": (
+                        staging.inventory_adjustments(raw["inventory_adjustments"]), self._kept,
+                    ),
+                }
+            )
+        )
         t["stg_order_refunds"] = staging.order_refunds(t["stg_orders"])
         t["stg_order_transactions"] = self._kept(
             "stg_order_transactions", staging.order_transactions(t["stg_orders"])
@@ -87,9 +98,6 @@ class StarBuild:
             staging.products(raw["products"], keep=["product_id", "variants_json"])
         )
         t["stg_locations"] = staging.locations(raw["locations"])
-        t["stg_inventory_adjustments"] = self._kept(
-            "stg_inventory_adjustments", staging.inventory_adjustments(raw["inventory_adjustments"])
-        )
         t["stg_inventory_locations"] = staging.inventory_levels(raw["inventory_locations"])
         for name, stage in (
             ("custom_collections", staging.collections),
@@ -100,71 +108,64 @@ class StarBuild:
             if name in raw:
                 t[f"stg_{name}"] = stage(raw[name])
 
+    def _dimensions(self) -> dict[str, DataFrame]:
+        t = self.tables
+        adjustments, orders = t["stg_inventory_adjustments"], t["stg_orders"]
+        return {
+            "dim_customers": dimensions.dim_customers(t["stg_customers"]),
+            "dim_locations": dimensions.dim_locations(t["stg_locations"]),
+            "dim_products": dimensions.dim_products(
+                t["stg_products"],
+                intermediate.products_in_orders(orders),
+                intermediate.products_in_adjustments(adjustments),
+            ),
+            "dim_variants": dimensions.dim_variants(
+                t["stg_variants"],
+                intermediate.variants_in_orders(orders),
+                intermediate.variants_in_adjustments(adjustments),
+            ),
+            "dim_date": dimensions.dim_date(self.bounds, self.holidays),
+            "dim_payment_methods": dimensions.dim_payment_methods(t["stg_order_transactions"]),
+        }
+
+    def _facts(self) -> dict[str, DataFrame]:
+        t = self.tables
+        return {
+            "fct_orders": facts.fct_orders(intermediate.order_net_revenue_in_document(t["stg_orders"])),
+            "fct_order_lines": facts.fct_order_lines(intermediate.order_lines(t["stg_orders"])),
+            "fct_transactions": facts.fct_transactions(t["stg_order_transactions"]),
+            "fct_refunds": facts.fct_refunds(t["stg_order_refunds"]),
+            "fct_inventory_adjustments": facts.fct_inventory_adjustments(t["stg_inventory_adjustments"]),
+            "fct_inventory_snapshot": facts.fct_inventory_snapshot(t["stg_inventory_locations"]),
+        }
+
     def _kept(self, name: str, rows: DataFrame) -> DataFrame:
-        """Rows several tables read, computed once."""
+        """Rebuild a table."""
         table = KeyedTable(self.spark, f"{self.out_dir}/{name}", [])
         table.replace(rows)
         return table.read()
 
-    def _dimensions(self) -> None:
-        t = self.tables
-        adjustments, orders = t["stg_inventory_adjustments"], t["stg_orders"]
-        self._each(
-            {
-                "dim_customers": dimensions.dim_customers(t["stg_customers"]),
-                "dim_locations": dimensions.dim_locations(t["stg_locations"]),
-                "dim_products": dimensions.dim_products(
-                    t["stg_products"],
-                    intermediate.products_in_orders(orders),
-                    intermediate.products_in_adjustments(adjustments),
-                ),
-                "dim_variants": dimensions.dim_variants(
-                    t["stg_variants"],
-                    intermediate.variants_in_orders(orders),
-                    intermediate.variants_in_adjustments(adjustments),
-                ),
-                "dim_date": dimensions.dim_date(self.bounds, self.holidays),
-                "dim_payment_methods": dimensions.dim_payment_methods(t["stg_order_transactions"]),
-            },
-            lambda name, rows: KeyedTable(self.spark, f"{self.out_dir}/{name}", []).replace(rows),
-        )
-
-    def _facts(self) -> None:
-        t = self.tables
-        self._each(
-            {
-                "fct_orders": facts.fct_orders(intermediate.order_net_revenue_in_document(t["stg_orders"])),
-                "fct_order_lines": facts.fct_order_lines(intermediate.order_lines(t["stg_orders"])),
-                "fct_transactions": facts.fct_transactions(t["stg_order_transactions"]),
-                "fct_refunds": facts.fct_refunds(t["stg_order_refunds"]),
-                "fct_inventory_adjustments": facts.fct_inventory_adjustments(t["stg_inventory_adjustments"]),
-                "fct_inventory_snapshot": facts.fct_inventory_snapshot(t["stg_inventory_locations"]),
-            },
-            self._merge_fact,
-        )
-
-    def _merge_fact(self, name: str, rows: DataFrame) -> None:
+    def _merge_fact(self, name: str, rows: DataFrame) -> DataFrame:
         spec = fact_specs(self.id_bucket)[name]
         table = KeyedTable(self.spark, f"{self.out_dir}/{name}", spec.keys, spec.partition)
         current = table.read()
         if current is not None:
             rows = incremental_rows(name, rows, current, spec, self.as_of)
         merge_into(table, rows, spec.append_new_columns)
+        return table.read()
 
-    def _each(self, frames: Mapping[str, DataFrame], write) -> None:
+    def _each(
+        self, writes: Mapping[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]]
+    ) -> dict[str, DataFrame]:
         """Independent tables are submitted side by side; the first error stops the build."""
-        with ThreadPoolExecutor(self.threads) as pool:
-            task = inheritable_thread_target(self.spark)(write)
-            jobs = [pool.submit(task, name, rows) for name, rows in frames.items()]
-            for job in jobs:
-                job.result()
-        for name in frames:
-            self.tables[name] = KeyedTable(self.spark, f"{self.out_dir}/{name}", []).read()
+        return in_parallel(
+            self.spark, {name: partial(write, name, rows) for name, (rows, write) in writes.items()}, self.threads
+        )
 
     def check(self) -> DataFrame:
         """Results of all tests on the raw tables and on what was built."""
         checked = {**{f"raw_{n}": df for n, df in self.raw.items()}, **self.tables, "holidays": self.holidays}
-        return quality.run_suite(checked, quality.RULES)
+        return quality.run_suite(checked, quality.RULES, self.threads)
 
 
 def incremental_rows(name: str, rows: DataFrame, current: DataFrame, spec: FactSpec, as_of: Column) -> DataFrame:
@@ -188,7 +189,7 @@ def build(
     return star
 
 
-def results_of(models: Mapping[str, DataFrame], suite: DataFrame) -> DataFrame:
+def results_of(models: Iterable[str], suite: DataFrame) -> DataFrame:
     """Suite results plus one ``success`` row per built model, for :func:`quality.tally`."""
     spark = suite.sparkSession
     built = spark.createDataFrame([(name, "model", "success") for name in models], "name string, kind string, status string")

@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+_T = TypeVar("_T")
 _local_dirs: dict[str, str] = {}
 
 
@@ -62,3 +67,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(spark: SparkSession, jobs: Mapping[str, Callable[[], _T]], threads: int) -> dict[str, _T]:
+    """Submit independent Spark jobs side by side; the first error is raised."""
+    with ThreadPoolExecutor(threads) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
