@@ -405,20 +405,22 @@ _landed: dict[tuple[str, str, str], str] = {}
 
 def raw(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Raw table of a feed."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key in _landed:
+        return scan(spark, _landed[key])
     items = ITEMS[name](spark, sf)
     if name == "locations":
         return location_rows(items, RUN_ID, as_of(), as_of())
     if name == "inventory_locations":
         rows = snapshot_rows(items, RUN_ID, F.col("day"), F.col("seen_at"), as_of())
         return last_arrivals(rows.drop("day", "seen_at"))
+    rows = raw_rows(items, RUN_ID, as_of())
     if name not in GATHERED:
-        return raw_rows(items, RUN_ID, as_of())
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _landed:
-        path = scratch(spark, f"raw-{name}")
-        raw_rows(items, RUN_ID, as_of()).write.parquet(path)
-        _landed[key] = path
-    return scan(spark, _landed[key])
+        return rows
+    path = scratch(spark, f"raw-{name}")
+    rows.write.parquet(path)
+    _landed[key] = path
+    return scan(spark, path)
 
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
