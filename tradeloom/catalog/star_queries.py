@@ -22,7 +22,7 @@ from tradeloom.operators import intermediate as im
 from tradeloom.operators import staging as st
 from tradeloom.operators.merge import merge_rows, recent_days, since_target
 from tradeloom.plans.star import build, fact_specs
-from tradeloom.session import scratch
+from tradeloom.session import scratch, written
 from tradeloom.sources.seeds import read_holidays
 
 PRODUCT_SQL = """product_key, product_id, title, handle, vendor, product_type, status, tags, created_at, product_updated_at,
@@ -169,8 +169,9 @@ def _(spark, sf):
     return facts.revenue_by_product(line_facts(spark, sf), product_dim(spark, sf))
 
 
-# Merges: the target is what an earlier run stored (marked by its status or
-# amount), the source is the whole current feed.
+# Merges: the target is what an earlier run stored, with one column that differs
+# from today's; the source is the whole current table. As in a build, both are
+# read from storage.
 
 
 def _stale(df: DataFrame, column: str, before: str, **changes) -> DataFrame:
@@ -203,7 +204,7 @@ SELECT {columns} FROM (
                "'stale' AS financial_status", 30),
 )
 def _(spark, sf):
-    rows = order_facts(spark, sf)
+    rows = written(order_facts(spark, sf), "orders")
     target = _stale(rows, "order_updated_at", "2000-01-01", financial_status=F.lit("stale"))
     return _merged("fct_orders", rows, target)
 
@@ -213,7 +214,7 @@ def _(spark, sf):
     _merge_sql(LINE_FACT_SQL, "line_facts", "line_key", "created_at", "2000-01-01", "-1 AS quantity"),
 )
 def _(spark, sf):
-    rows = line_facts(spark, sf)
+    rows = written(line_facts(spark, sf), "lines")
     return _merged("fct_order_lines", rows, _stale(rows, "created_at", "2000-01-01", quantity=F.lit(-1)))
 
 
@@ -222,7 +223,7 @@ def _(spark, sf):
     _merge_sql(TX_FACT_SQL, "transaction_facts", "transaction_id", "created_at", "2000-01-01", "'stale' AS status"),
 )
 def _(spark, sf):
-    rows = transaction_facts(spark, sf)
+    rows = written(transaction_facts(spark, sf), "transactions")
     return _merged("fct_transactions", rows, _stale(rows, "created_at", "2000-01-01", status=F.lit("stale")))
 
 
@@ -231,7 +232,7 @@ def _(spark, sf):
     _merge_sql(REFUND_FACT_SQL, "refund_facts", "refund_id", "created_at", "2000-01-01", "'stale' AS reason"),
 )
 def _(spark, sf):
-    rows = refund_facts(spark, sf)
+    rows = written(refund_facts(spark, sf), "refunds")
     return _merged("fct_refunds", rows, _stale(rows, "created_at", "2000-01-01", reason=F.lit("stale")))
 
 
@@ -240,7 +241,7 @@ def _(spark, sf):
     _merge_sql(ADJUSTMENT_FACT_SQL, "adjustment_facts", "adjustment_id", "adjusted_at", "2000-01-01", "'stale' AS reason"),
 )
 def _(spark, sf):
-    rows = adjustment_facts(spark, sf)
+    rows = written(adjustment_facts(spark, sf), "adjustments")
     return _merged("fct_inventory_adjustments", rows, _stale(rows, "adjusted_at", "2000-01-01", reason=F.lit("stale")))
 
 
@@ -254,7 +255,7 @@ SELECT * FROM (
 )
 def _(spark, sf):
     """As of 90 days after mid January: earlier days stay, that day and later ones are merged."""
-    rows = snapshot_facts(spark, sf)
+    rows = written(snapshot_facts(spark, sf), "levels")
     target = rows.filter("snapshot_date < DATE'2024-01-25'").withColumn("on_hand_quantity", F.lit(-1))
     batch = recent_days(rows, "snapshot_date", F.lit("2024-04-15").cast("date"), 90)
     return merge_rows(target, batch, fact_specs(1)["fct_inventory_snapshot"].keys)
@@ -272,7 +273,7 @@ FROM (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS note) FROM refund_facts WHERE c
 )
 def _(spark, sf):
     """The feed gained ``note``; rows stored before have none."""
-    rows = refund_facts(spark, sf).select("refund_id", "order_id", "refund_amount_vnd", "created_at", "note")
+    rows = written(refund_facts(spark, sf), "refunds").select("refund_id", "order_id", "refund_amount_vnd", "created_at", "note")
     target = _stale(rows, "created_at", "2000-01-01").drop("note")
     return _merged("fct_refunds", rows, target)
 

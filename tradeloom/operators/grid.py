@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.documents import has_key
+from tradeloom.operators.staging import elements
 from tradeloom.session import cut_lineage
 
 # Fixed value: ids per request.
@@ -14,8 +15,8 @@ BATCH_SIZE = 50
 
 def nested_ids(raw: DataFrame, array: str, id_name: str) -> DataFrame:
     """Distinct ids of the objects in ``payload[array]`` that have an id key."""
-    elements = F.from_json("payload", f"`{array}` array<string>", {"mode": "FAILFAST"})
-    items = raw.select(elements.alias("doc")).select(F.explode(f"doc.{array}").alias("item"))
+    parsed = F.from_json("payload", f"`{array}` array<string>", {"mode": "FAILFAST"})
+    items = elements(raw.select(parsed.alias("doc")), f"doc.{array}")
     with_id = items.filter(has_key(F.col("item"), "id"))
     return with_id.select(F.get_json_object("item", "$.id").cast("bigint").alias(id_name)).distinct()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.values import blank_to_null, product_title
 from tradeloom.operators.pick import latest_by, nulls_lose, nulls_win
-from tradeloom.operators.staging import MONEY
+from tradeloom.operators.staging import MONEY, elements
 
 NET = "decimal(38,2)"
 
@@ -17,7 +17,7 @@ def _number(path: str, type: str) -> Column:
 
 
 def _lines(staged_orders: DataFrame, *columns: str) -> DataFrame:
-    return staged_orders.select(F.explode("line_items_json").alias("item"), *columns)
+    return elements(staged_orders, "line_items_json", *columns)
 
 
 def order_lines(staged_orders: DataFrame) -> DataFrame:
@@ -127,13 +127,15 @@ def order_net_revenue_in_document(staged_orders: DataFrame) -> DataFrame:
 
 
 def _with_net(orders: DataFrame, refunded: Column) -> DataFrame:
-    computed = F.coalesce(refunded, F.lit(0)).cast(NET)
-    return orders.select(
+    # In two steps: the sum over the array is evaluated once, and keeps only its
+    # own projection out of generated code.
+    known = orders.select(
         *orders.columns,
         F.col("total_refunded_vnd").alias("total_refunded_reported_vnd"),
-        computed.alias("total_refunded_calc_vnd"),
-        (F.col("total_price_vnd") - computed).cast(NET).alias("net_revenue_vnd"),
+        F.coalesce(refunded, F.lit(0)).cast(NET).alias("total_refunded_calc_vnd"),
     )
+    net = F.col("total_price_vnd") - F.col("total_refunded_calc_vnd")
+    return known.select("*", net.cast(NET).alias("net_revenue_vnd"))
 
 
 def orders_with_customer(staged_orders: DataFrame, staged_customers: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.documents import (
@@ -217,7 +217,17 @@ def _project(
 
 def _items(df: DataFrame, array: str, *columns: str) -> DataFrame:
     """One row per array element that has an id; rows without elements vanish."""
-    return df.select(F.explode(array).alias("item"), *columns).filter("item.id IS NOT NULL")
+    return elements(df, array, *columns).filter("item.id IS NOT NULL")
+
+
+def elements(df: DataFrame, array: str | Column, *columns: str) -> DataFrame:
+    """Array elements as ``item``, NULL for a row without any; callers filter on a field of it.
+
+    The outer form, because for the inner one the optimizer adds a filter on the
+    array's size below the projection, and that filter would parse each document
+    once more.
+    """
+    return df.select(F.explode_outer(array).alias("item"), *columns)
 
 
 def orders(raw: DataFrame, keep: Iterable[str] | None = None) -> DataFrame:
@@ -284,8 +294,8 @@ def order_transactions(staged_orders: DataFrame) -> DataFrame:
         ),
     )
     rows = (
-        staged_orders.select(F.explode(tagged).alias("tx"), "order_id", *ENVELOPE)
-        .select("order_id", "tx.refund_id", F.col("tx.item").alias("item"), *ENVELOPE)
+        elements(staged_orders, tagged, "order_id", *ENVELOPE)
+        .select("order_id", "item.refund_id", "item.item", *ENVELOPE)
         .filter("item.id IS NOT NULL")
         .select("order_id", "refund_id", *typed(TRANSACTIONS, "item"), *ENVELOPE)
     )

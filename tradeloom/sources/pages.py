@@ -44,8 +44,9 @@ def explode_items(pages: DataFrame, domain: Domain) -> DataFrame:
     )
     return pages.select(envelope.alias("envelope"), "file").select(
         number.cast("bigint").alias("page"),
-        F.posexplode(f"envelope.{domain.envelope}").alias("position", "item"),
-    )
+        # Outer, then filtered: see ``operators.staging.elements``.
+        F.posexplode_outer(f"envelope.{domain.envelope}").alias("position", "item"),
+    ).filter("item IS NOT NULL")
 
 
 def ingest(spark: SparkSession, path: str, domain: Domain, whole_files: bool = False) -> DataFrame:
