@@ -76,6 +76,17 @@ def test_stored_table_gains_columns_and_can_be_emptied(spark, tmp_path):
     assert table.read().count() == 0 and table.read().columns == ["id", "v", "n"]
 
 
+def test_superseded_versions_can_be_dropped(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], "id div 10")
+    merge_into(table, t(spark, (1, "a"), (11, "b")))
+    merge_into(table, t(spark, (1, "A")))
+    table.drop_superseded()
+    left = {p.parent.name + "/" + p.name for p in (tmp_path / "t" / "data").glob("*/_part=*")}
+    assert left == {"version=1/_part=1", "version=2/_part=0"}
+    merge_into(table, t(spark, (2, "c")))
+    assert rows(table.read(), "*") == [(1, "A"), (11, "b"), (2, "c")]
+
+
 def test_failed_merge_changes_nothing(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
     merge_into(table, t(spark, (1, "a")))

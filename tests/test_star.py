@@ -87,6 +87,22 @@ def test_second_build_merges_by_its_windows(spark, out):
     assert rows(star.check().filter("status = 'fail'"), "table_name", "column_name") == []
 
 
+def test_only_newly_landed_documents_are_parsed(spark, out):
+    """A stored document older than the newest parsed one is not read again."""
+    stale = order(5, 5, status="must not be seen", updated=27)
+    row = (5, json.dumps(stale), T0, T0 - timedelta(days=1), "r")
+    landed = feeds(spark, [order(21, 25, status="paid late")])
+    landed["orders"] = landed["orders"].unionByName(spark.createDataFrame([row], RAW))
+    bounds = spark.sql("SELECT DATE'2026-01-01' AS start, DATE'2026-03-01' AS as_of")
+    holidays = spark.sql("SELECT DATE'2026-01-01' AS date, 'New Year' AS holiday_name, true AS is_public_holiday")
+    day = F.lit("2026-03-01").cast("timestamp")
+    star = build(spark, landed, out, bounds, day, holidays, id_bucket=10)
+    status = dict(rows(star.tables["fct_orders"], "order_id", "financial_status"))
+    assert (status[5], status[21], len(status)) == ("refunded", "paid late", 21)
+    again = build(spark, landed, out + "-full", bounds, day, holidays, id_bucket=10, full_refresh=True)
+    assert again.tables["fct_orders"].count() == 2
+
+
 def test_rows_missing_upstream_stay(spark, out):
     star = run(spark, out, [order(22, 26)])
     assert star.tables["fct_orders"].count() == 22

@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.functions.keys import date_key
 from tradeloom.operators.upsert import last_arrivals
 from tradeloom.session import scratch
 from tradeloom.sources.raw import location_rows, raw_rows, scan, snapshot_rows
@@ -59,7 +60,7 @@ def line_rows(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat_ws(
         "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _hundredths("l_quantity"),
         _hundredths("l_extendedprice"), _hundredths("l_discount"), _hundredths("l_tax"),
-        "l_returnflag", "l_linestatus", F.date_format("l_shipdate", "yyyyMMdd"),
+        "l_returnflag", "l_linestatus", date_key("l_shipdate"),
     )
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate",

@@ -88,10 +88,10 @@ def _(spark, sf):
 
 @query(
     "json_paths",
-    sql("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS nested,
+    sql("""SELECT order_id AS id, CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS nested,
 CASE WHEN o_orderkey % 17 = 0 THEN '' WHEN o_orderkey % 10 = 0 THEN CAST(o_custkey AS VARCHAR) END AS flat,
 '{"city":"City ' || (o_custkey % 25) || '"}' AS object, CAST(NULL AS VARCHAR) AS json_null, CAST(NULL AS VARCHAR) AS absent
-FROM headers WHERE order_id = o_orderkey"""),
+FROM headers"""),
 )
 def _(spark, sf):
     fields = [

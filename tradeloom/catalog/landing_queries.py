@@ -7,14 +7,24 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.catalog.feeds import AS_OF, ITEMS, RUN_ID, as_of, customer_items, location_items, inventory_items
-from tradeloom.catalog.feeds import order_items, raw, run_log, sync_state, table
-from tradeloom.catalog.flat import dbl, sql
+from tradeloom.catalog.feeds import (
+    AS_OF,
+    RUN_ID,
+    as_of,
+    customer_items,
+    inventory_items,
+    location_items,
+    raw,
+    run_log,
+    sync_state,
+    table,
+)
+from tradeloom.catalog.flat import sql
 from tradeloom.catalog.registry import query
 from tradeloom.operators import grid, reconcile, runlog, state
 from tradeloom.operators.upsert import guarded_upsert, last_arrivals, load_summary
 from tradeloom.session import scratch
-from tradeloom.sources.domains import DOMAINS, domain
+from tradeloom.sources.domains import domain
 from tradeloom.sources.pages import ingest
 from tradeloom.sources.raw import location_rows, raw_rows, snapshot_rows
 from tradeloom.sources.seeds import read_holidays
@@ -285,14 +295,14 @@ def _(spark, sf):
 
 @query(
     "count_drift",
-    """SELECT domain, source_count, landed_count, abs(source_count - landed_count) / greatest(source_count, 1) AS drift,
+    sql("""SELECT domain, source_count, landed_count, abs(source_count - landed_count) / greatest(source_count, 1) AS drift,
 abs(source_count - landed_count) / greatest(source_count, 1) <= 0.001 AS ok FROM (
-SELECT 'orders' AS domain, (SELECT count(*) FROM orders) AS source_count, (SELECT count(*) FROM orders) AS landed_count
+SELECT 'orders' AS domain, (SELECT count(*) FROM orders) AS source_count, (SELECT count(*) FROM headers) AS landed_count
 UNION ALL SELECT 'customers', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)
 UNION ALL SELECT 'products', (SELECT count(*) FROM part), (SELECT count(*) FROM part WHERE p_size <= 45)
 UNION ALL SELECT 'locations', (SELECT count(*) FROM nation), (SELECT count(*) FROM nation)
 UNION ALL SELECT 'promotions', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier)
-UNION ALL SELECT 'discounts', (SELECT count(*) FROM part), (SELECT count(*) FROM part))""",
+UNION ALL SELECT 'discounts', (SELECT count(*) FROM part), (SELECT count(*) FROM part))"""),
 )
 def _(spark, sf):
     """Delisted parts are at the source but were never landed as products."""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.documents import has_key
 from tradeloom.operators.staging import elements
-from tradeloom.session import cut_lineage
+from tradeloom.session import written
 
 # Fixed value: ids per request.
 BATCH_SIZE = 50
@@ -26,11 +26,11 @@ def id_batches(ids: DataFrame, id: str, size: int = BATCH_SIZE) -> DataFrame:
 
     The rank is made in two levels: range partitions get their offset from the
     partition counts, rows their rank within the partition. So no task ever
-    sorts all ids. The partitioned ids are checkpointed because both levels
-    must see the same partition bounds.
+    sorts all ids. The partitioned ids are stored first, as both levels must
+    see the same partition bounds.
     """
     ranged = ids.select(id).distinct().repartitionByRange(id)
-    ranged = cut_lineage(ranged.select(id, F.spark_partition_id().alias("_slice")))
+    ranged = written(ranged.select(id, F.spark_partition_id().alias("_slice")), "ids")
     counts = ranged.groupBy("_slice").agg(F.count("*").alias("_n"))
     # One row per partition of the id table: small whatever the number of ids.
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,20 +45,24 @@ def id_batches(ids: DataFrame, id: str, size: int = BATCH_SIZE) -> DataFrame:
     )
 
 
-def location_grid(locations: DataFrame, variants: DataFrame, cells: int = 8) -> DataFrame:
+def location_grid(
+    locations: DataFrame, variants: DataFrame, location_slices: int = 4, variant_slices: int = 64
+) -> DataFrame:
     """Every location with every variant; empty if either side is.
 
     The pairs are what is asked for, so all of them are made, but spread: each
-    location is copied into one row of a ``cells`` x ``cells`` grid, each variant
-    into one column, and the two are equi-joined on the cell. A task thus pairs
-    a slice of the locations with a slice of the variants, and neither side is
-    broadcast unless it is small.
+    location is copied along one row of a grid of cells, each variant along one
+    column, and the two are equi-joined on the cell. A task thus pairs a slice
+    of the locations with a slice of the variants. Shops have far fewer
+    locations than variants, so variants get many slices and few copies.
     """
-    lanes = F.sequence(F.lit(0), F.lit(cells - 1))
-    rows = locations.select(
-        "*", F.pmod(F.xxhash64(*locations.columns), F.lit(cells)).cast("int").alias("_row"), F.explode(lanes).alias("_col")
-    )
-    cols = variants.select(
-        "*", F.pmod(F.xxhash64(*variants.columns), F.lit(cells)).cast("int").alias("_col"), F.explode(lanes).alias("_row")
-    )
+
+    def slice_of(df: DataFrame, n: int) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    rows = locations.select("*", slice_of(locations, location_slices).alias("_row"), every(variant_slices).alias("_col"))
+    cols = variants.select("*", slice_of(variants, variant_slices).alias("_col"), every(location_slices).alias("_row"))
     return rows.join(cols, ["_row", "_col"]).drop("_row", "_col")

@@ -61,8 +61,13 @@ def merge_rows(
     incoming = one_row_per_key(batch, keys)
     if not append_new_columns:
         incoming = incoming.select(*[c for c in target.columns if c in batch.columns])
-    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(incoming, allowMissingColumns=True)
+    return overlay(target, incoming, keys)
+
+
+def overlay(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All rows of the batch, and those of the target whose key it lacks."""
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(batch, allowMissingColumns=True)
 
 
 def merge_into(table: KeyedTable, batch: DataFrame, append_new_columns: bool = False) -> None:

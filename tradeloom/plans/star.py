@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators import dimensions, facts, intermediate, quality, staging
-from tradeloom.operators.merge import merge_into, recent_days, since_target
+from tradeloom.operators.merge import merge_into, overlay, recent_days, since_target
 from tradeloom.session import in_parallel
 from tradeloom.sources.tables import KeyedTable
 
@@ -52,7 +52,10 @@ def fact_specs(bucket: int) -> dict[str, FactSpec]:
 
 @dataclass
 class StarBuild:
-    """One build into ``out_dir``; running it again merges into what is there."""
+    """One build into ``out_dir``; running it again merges into what is there.
+
+    ``full_refresh`` starts over: all documents are parsed, all facts rebuilt.
+    """
 
     spark: SparkSession
     raw: Mapping[str, DataFrame]
@@ -62,6 +65,7 @@ class StarBuild:
     holidays: DataFrame
     id_bucket: int = 10_000_000
     threads: int = 4
+    full_refresh: bool = False
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def run(self) -> None:
@@ -77,11 +81,10 @@ class StarBuild:
     # staging tables have several readers too.
     def _stage(self) -> None:
         raw, t = self.raw, self.tables
-        parsed = staging.orders(raw["orders"], keep=[f.name for f in staging.ORDERS])
         t.update(
             self._each(
                 {
-                    "stg_orders": (parsed, self._kept),
+                    "stg_orders": (raw["orders"], self._parsed_orders),
                     "stg_inventory_adjustments": (
                         staging.inventory_adjustments(raw["inventory_adjustments"]), self._kept,
                     ),
@@ -108,6 +111,23 @@ class StarBuild:
             if name in raw:
                 t[f"stg_{name}"] = stage(raw[name])
 
+    def _parsed_orders(self, name: str, rows: DataFrame) -> DataFrame:
+        """Parse the documents landed since the last build.
+
+        Landing stamps every row it writes, so a document that changed is not
+        older than the newest one parsed. Documents are replaced whole.
+        """
+        table = KeyedTable(self.spark, f"{self.out_dir}/{name}", ["order_id"], f"order_id div {self.id_bucket}")
+        known = None if self.full_refresh else table.read()
+        if known is not None:
+            rows = rows.filter(F.col("ingested_at") >= known.agg(F.max("ingested_at").alias("newest")).scalar())
+        parsed = staging.orders(rows, keep=[f.name for f in staging.ORDERS])
+        if known is None:
+            table.replace(parsed)
+        else:
+            table.apply(parsed, lambda old, new: overlay(old, new, table.keys))
+        return table.read()
+
     def _dimensions(self) -> dict[str, DataFrame]:
         t = self.tables
         adjustments, orders = t["stg_inventory_adjustments"], t["stg_orders"]
@@ -148,10 +168,12 @@ class StarBuild:
     def _merge_fact(self, name: str, rows: DataFrame) -> DataFrame:
         spec = fact_specs(self.id_bucket)[name]
         table = KeyedTable(self.spark, f"{self.out_dir}/{name}", spec.keys, spec.partition)
-        current = table.read()
-        if current is not None:
+        current = None if self.full_refresh else table.read()
+        if current is None:
+            table.replace(rows)
+        else:
             rows = incremental_rows(name, rows, current, spec, self.as_of)
-        merge_into(table, rows, spec.append_new_columns)
+            merge_into(table, rows, spec.append_new_columns)
         return table.read()
 
     def _each(
@@ -181,7 +203,7 @@ def build(
     bounds: DataFrame,
     as_of: Column,
     holidays: DataFrame,
-    **options: int,
+    **options: int | bool,
 ) -> StarBuild:
     """Build or update the star schema below ``out_dir``."""
     star = StarBuild(spark, raw, out_dir, bounds, as_of, holidays, **options)

@@ -56,16 +56,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
-    return df.checkpoint()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back."""
+    """Write ``df`` once to the shared folder and read it back.
+
+    This cuts the lineage like a checkpoint does, survives the loss of
+    executors, and computes ``df`` once.
+    """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
