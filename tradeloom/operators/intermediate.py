@@ -50,14 +50,15 @@ def products_in_orders(staged_orders: DataFrame) -> DataFrame:
         .filter("item.product_id IS NOT NULL")
         .select(
             _number("item.product_id", "bigint").alias("product_id"),
-            product_title(F.col("item.title")).alias("title"),
+            F.col("item.title").alias("title"),
             "created_at",
             "order_id",
             F.col("item.id").cast("bigint").alias("line_id"),
         )
     )
     order = [*nulls_win("created_at"), F.col("order_id"), F.col("line_id"), F.col("title")]
-    return latest_by(seen, ["product_id"], order, keep=["product_id", "title"])
+    newest = latest_by(seen, ["product_id"], order, keep=["product_id", "title"])
+    return newest.select("product_id", product_title(F.col("title")).alias("title"))
 
 
 def variants_in_orders(staged_orders: DataFrame) -> DataFrame:

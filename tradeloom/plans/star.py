@@ -14,13 +14,20 @@ from tradeloom.operators.merge import merge_into, overlay, recent_days, since_ta
 from tradeloom.session import in_parallel
 from tradeloom.sources.tables import KeyedTable
 
+# Per table: its rows, and what stores them.
+Writes = Mapping[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]]
+
 SNAPSHOT_LOOKBACK_DAYS = 90
 ORDER_LOOKBACK_DAYS = 30
 
 
 @dataclass(frozen=True)
 class FactSpec:
-    """How a fact is merged: key, storage partition, and the rows a later run takes."""
+    """How a fact is merged: key, storage partition, and the rows a later run takes.
+
+    ``like_orders``: made from the staged orders by narrow steps, and partitioned
+    as they are.
+    """
 
     keys: tuple[str, ...]
     partition: str
@@ -28,16 +35,20 @@ class FactSpec:
     target_column: str
     lookback_days: int = 0
     append_new_columns: bool = True
+    like_orders: bool = False
 
 
 def fact_specs(bucket: int) -> dict[str, FactSpec]:
     """Ids grow over time, so a run's rows fall into few id ranges of ``bucket`` ids."""
     return {
         "fct_orders": FactSpec(
-            ("order_id",), f"order_id div {bucket}", "order_updated_at", "order_updated_at", ORDER_LOOKBACK_DAYS
+            ("order_id",), f"order_id div {bucket}", "order_updated_at", "order_updated_at", ORDER_LOOKBACK_DAYS,
+            like_orders=True,
         ),
         # A line key belongs to one order, so the order id may partition it.
-        "fct_order_lines": FactSpec(("line_key",), f"order_id div {bucket}", "created_at", "created_at"),
+        "fct_order_lines": FactSpec(
+            ("line_key",), f"order_id div {bucket}", "created_at", "created_at", like_orders=True
+        ),
         "fct_transactions": FactSpec(("transaction_id",), f"transaction_id div {bucket}", "created_at", "created_at"),
         "fct_refunds": FactSpec(("refund_id",), f"refund_id div {bucket}", "created_at", "created_at"),
         "fct_inventory_adjustments": FactSpec(
@@ -71,10 +82,18 @@ class StarBuild:
     def run(self) -> None:
         """Stage, then dimensions and facts, which need only staging tables."""
         self._stage()
-        writes: dict[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]] = {}
+        transactions = staging.order_transactions(self.tables["stg_orders"])
+        writes = {"stg_order_transactions": (transactions, self._kept)}
         writes.update({name: (rows, self._kept) for name, rows in self._dimensions().items()})
         writes.update({name: (rows, self._merge_fact) for name, rows in self._facts().items()})
         self.tables.update(self._each(writes))
+        transactions = self.tables["stg_order_transactions"]
+        methods = dimensions.dim_payment_methods(transactions)
+        writes = {
+            "dim_payment_methods": (methods, self._kept),
+            "fct_transactions": (facts.fct_transactions(transactions), self._merge_fact),
+        }
+        self.tables.update(self._each(writes))
 
     # Orders are read by nine tables. They are parsed once and kept as nested
     # parquet, from which every reader takes only its columns. The other kept
@@ -92,9 +111,6 @@ class StarBuild:
             )
         )
         t["stg_order_refunds"] = staging.order_refunds(t["stg_orders"])
-        t["stg_order_transactions"] = self._kept(
-            "stg_order_transactions", staging.order_transactions(t["stg_orders"])
-        )
         t["stg_customers"] = staging.customers(raw["customers"])
         t["stg_products"] = staging.products(raw["products"])
         t["stg_variants"] = staging.variants(
@@ -115,7 +131,8 @@ class StarBuild:
         """Parse the documents landed since the last build.
 
         Landing stamps every row it writes, so a document that changed is not
-        older than the newest one parsed. Documents are replaced whole.
+        older than the newest one parsed. Documents are replaced whole. The raw
+        table is partitioned by the same ids, so a first build needs no shuffle.
         """
         table = KeyedTable(self.spark, f"{self.out_dir}/{name}", ["order_id"], f"order_id div {self.id_bucket}")
         known = None if self.full_refresh else table.read()
@@ -123,7 +140,7 @@ class StarBuild:
             rows = rows.filter(F.col("ingested_at") >= known.agg(F.max("ingested_at").alias("newest")).scalar())
         parsed = staging.orders(rows, keep=[f.name for f in staging.ORDERS])
         if known is None:
-            table.replace(parsed)
+            table.replace(parsed, spread=False)
         else:
             table.apply(parsed, lambda old, new: overlay(old, new, table.keys))
         return table.read()
@@ -145,7 +162,6 @@ class StarBuild:
                 intermediate.variants_in_adjustments(adjustments),
             ),
             "dim_date": dimensions.dim_date(self.bounds, self.holidays),
-            "dim_payment_methods": dimensions.dim_payment_methods(t["stg_order_transactions"]),
         }
 
     def _facts(self) -> dict[str, DataFrame]:
@@ -153,7 +169,6 @@ class StarBuild:
         return {
             "fct_orders": facts.fct_orders(intermediate.order_net_revenue_in_document(t["stg_orders"])),
             "fct_order_lines": facts.fct_order_lines(intermediate.order_lines(t["stg_orders"])),
-            "fct_transactions": facts.fct_transactions(t["stg_order_transactions"]),
             "fct_refunds": facts.fct_refunds(t["stg_order_refunds"]),
             "fct_inventory_adjustments": facts.fct_inventory_adjustments(t["stg_inventory_adjustments"]),
             "fct_inventory_snapshot": facts.fct_inventory_snapshot(t["stg_inventory_locations"]),
@@ -170,15 +185,13 @@ class StarBuild:
         table = KeyedTable(self.spark, f"{self.out_dir}/{name}", spec.keys, spec.partition)
         current = None if self.full_refresh else table.read()
         if current is None:
-            table.replace(rows)
+            table.replace(rows, spread=not spec.like_orders)
         else:
             rows = incremental_rows(name, rows, current, spec, self.as_of)
             merge_into(table, rows, spec.append_new_columns)
         return table.read()
 
-    def _each(
-        self, writes: Mapping[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]]
-    ) -> dict[str, DataFrame]:
+    def _each(self, writes: Writes) -> dict[str, DataFrame]:
         """Independent tables are submitted side by side; the first error stops the build."""
         return in_parallel(
             self.spark, {name: partial(write, name, rows) for name, (rows, write) in writes.items()}, self.threads
