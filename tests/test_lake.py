@@ -69,6 +69,18 @@ def test_failure_is_logged_and_stops_the_rest(lake, tmp_path):
         lake.land_all({"events": good})
 
 
+def test_stream_lands_new_files_and_moves_the_watermark(lake, tmp_path):
+    folder = save(tmp_path, "a", "orders", doc(1, 1), doc(12, 9))
+    lake.stream("orders", folder)
+    lake.stream("orders", folder)
+    (tmp_path / "a" / "2.jsonl").write_text(json.dumps({"page": 2, "orders": [doc(2, 3), doc(12, 8, late=True)]}) + "\n")
+    lake.stream("orders", folder)
+    assert rows(lake.raw("orders").read(), "id") == [(1,), (12,), (2,)]
+    assert mark(lake) == [("orders", "2026-05-09")]
+    assert rows(lake.run_log(), "rows_ingested", "status") == [(0, "success"), (1, "success"), (2, "success")]
+    assert rows(lake.freshness(F.current_timestamp()), "source", "status") == [("orders", "pass")]
+
+
 def test_requests_counts_and_archive(lake, tmp_path):
     lake.land("locations", save(tmp_path, "a", "locations", {"id": 101}, {"id": 102}))
     lake.land("products", save(tmp_path, "b", "products", doc(1, 1, variants=[{"id": 3}, {"id": 1}, {"id": 2}])))

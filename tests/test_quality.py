@@ -36,6 +36,13 @@ def test_suite(tables):
     ]
 
 
+def test_failures_stop_a_job_and_warnings_do_not(tables):
+    results = q.run_suite(tables, RULES)
+    with pytest.raises(ValueError, match="4 data tests failed.*child.parent relationships"):
+        q.require_passed(results)
+    q.require_passed(results.filter("status <> 'fail'"))
+
+
 def test_failing_rows(tables):
     child = tables["child"]
     assert rows(q.failing_rows(child, RULES[0]), "*") == [(2, 2)]

@@ -270,6 +270,14 @@ def _row_tests(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(outcomes))
 
 
+def require_passed(results: DataFrame) -> None:
+    """Raise if a test of severity ``error`` failed; warnings pass."""
+    failed = results.filter("status = 'fail'").collect()
+    if failed:
+        names = ", ".join(f"{r.table_name}.{r.column_name} {r.test} ({r.failures})" for r in failed)
+        raise ValueError(f"{len(failed)} data tests failed: {names}")
+
+
 def null_fraction(df: DataFrame, column: str) -> DataFrame:
     """NULL share of a column in one pass; the share of an empty table is NULL."""
     counts = df.agg(F.count_if(F.col(column).isNull()).alias("nulls"), F.count("*").alias("total"))

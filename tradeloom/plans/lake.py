@@ -13,16 +13,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.operators import reconcile, runlog, state
+from tradeloom.operators import quality, reconcile, runlog, state
 from tradeloom.operators.grid import id_batches, location_grid, nested_ids
 from tradeloom.operators.upsert import load_summary
 from tradeloom.plans.star import StarBuild, build
 from tradeloom.session import written
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
-from tradeloom.sources.raw import location_rows, raw_rows, snapshot_rows
+from tradeloom.sources.raw import RAW_SCHEMA, SNAPSHOT_SCHEMA, location_rows, raw_rows, snapshot_rows
 from tradeloom.sources.tables import KeyedTable
-from tradeloom.streaming.landing import land_rows
+from tradeloom.streaming.landing import land_rows, stream_landing
 
 SNAPSHOT_FEED = "inventory_locations"
 
@@ -80,7 +80,8 @@ class Lake:
         spec, run_id = domain(feed), str(uuid.uuid4())
         self._start_run(run_id, feed, mode, triggered_by)
         try:
-            wanted = self._window(spec, self._shaped(spec, pages, run_id, whole_files), mode, since, until)
+            shaped = self._shaped(spec, ingest(self.spark, pages, spec, whole_files), run_id)
+            wanted = self._window(spec, shaped, mode, since, until)
             # Stored once: the upsert and the summary both read it, and the pages are parsed once.
             rows = written(wanted, f"landing-{feed}")
             land_rows(self.raw(feed), rows)
@@ -99,8 +100,31 @@ class Lake:
             domain(feed)
         return {feed: self.land(feed, pages[feed], **options) for feed in DOMAINS if feed in pages}
 
-    def _shaped(self, spec: Domain, pages: str, run_id: str, whole_files: bool) -> DataFrame:
-        items = ingest(self.spark, pages, spec, whole_files)
+    def stream(self, feed: str, pages: str, files_per_batch: int = 1000, whole_files: bool = False) -> None:
+        """Land the page files not seen yet as a stream, then move the watermark.
+
+        The stream's checkpoint lies in the lake. All documents of new files are
+        landed, however late.
+        """
+        spec, run_id = domain(feed), str(uuid.uuid4())
+        self._start_run(run_id, feed, "incremental", "stream")
+        try:
+            job = stream_landing(
+                self.spark, pages, self.raw(feed), spec, f"{self.root}/meta/streams/{feed}", run_id,
+                shape=lambda items: self._shaped(spec, items, run_id),
+                files_per_batch=files_per_batch, whole_files=whole_files,
+            )
+            job.awaitTermination()
+            mine = self._rows(self.raw(feed), SNAPSHOT_SCHEMA if feed == SNAPSHOT_FEED else RAW_SCHEMA)
+            landed = load_summary(mine.filter(F.col("source_run_id") == run_id)).first()
+            if spec.incremental and landed["rows_total"]:
+                self._advance(feed, landed["max_updated_at"], run_id)
+        except Exception as error:
+            self._end_run(run_id, 0, "failed", str(error))
+            raise
+        self._end_run(run_id, landed["rows_total"], "success", None)
+
+    def _shaped(self, spec: Domain, items: DataFrame, run_id: str) -> DataFrame:
         now = F.current_timestamp()
         if spec.name == "locations":
             return location_rows(items, run_id, now)
@@ -154,6 +178,19 @@ class Lake:
         landed = reconcile.table_counts({f: t for f, t in tables.items() if t is not None}, "landed_count")
         return reconcile.count_drift(source, landed, tolerance)
 
+    def freshness(self, as_of: Column) -> DataFrame:
+        """Age of the newest row of every landed feed against its limits."""
+        ages = None
+        for feed in DOMAINS:
+            rows = self.raw(feed).read()
+            if rows is None:
+                continue
+            one = rows.agg(F.max("ingested_at").alias("ingested_at")).select(F.lit(feed).alias("source"), "ingested_at")
+            ages = one if ages is None else ages.unionByName(one)
+        if ages is None:
+            raise ValueError("nothing has been landed")
+        return quality.freshness(ages, as_of)
+
     def inventory_requests(self) -> DataFrame:
         """What to ask the stock feed for: each location with each batch of variant ids."""
         locations = self.raw("locations").read().select(F.col("id").alias("location_id"))
