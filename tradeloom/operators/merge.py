@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,25 +31,22 @@ def recent_days(source: DataFrame, column: str, as_of: Column, days: int) -> Dat
     return source.filter(F.col(column) >= days_before(as_of, days).cast("date"))
 
 
-def one_row_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch, failing where a complete key occurs twice.
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
-    Rows with a NULL key part match nothing and are not compared.
-    """
+
+def one_row_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with a complete key, failing where such a key occurs twice."""
     rest = [c for c in batch.columns if c not in keys]
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
     counted = (
-        batch.filter(complete)
+        batch.filter(_complete(keys))
         .groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_row"))
     )
     # The check is a filter, so that it also runs where only the keys are read.
     clash = F.raise_error(F.concat(F.lit(f"merge batch repeats {list(keys)}: "), F.to_json(F.struct(*keys))))
     checked = counted.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(clash.cast("boolean")))
-    rows = checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    return rows.select(*batch.columns).unionByName(batch.filter(~complete))
+    return checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*batch.columns)
 
 
 def merge_rows(
@@ -56,12 +54,13 @@ def merge_rows(
 ) -> DataFrame:
     """Matched keys take the batch's row, other batch rows are added, the rest stays.
 
-    New columns of the batch are appended (NULL in old rows) or, by default, dropped.
+    New columns of the batch are appended (NULL in old rows) or, by default,
+    dropped. Rows with a NULL key part match nothing and are added as they are.
     """
-    incoming = one_row_per_key(batch, keys)
     if not append_new_columns:
-        incoming = incoming.select(*[c for c in target.columns if c in batch.columns])
-    return overlay(target, incoming, keys)
+        batch = batch.select(*[c for c in target.columns if c in batch.columns])
+    merged = overlay(target, one_row_per_key(batch, keys), keys)
+    return merged.unionByName(batch.filter(~_complete(keys)))
 
 
 def overlay(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

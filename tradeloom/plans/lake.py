@@ -17,7 +17,7 @@ from tradeloom.operators import quality, reconcile, runlog, state
 from tradeloom.operators.grid import id_batches, location_grid, nested_ids
 from tradeloom.operators.upsert import load_summary
 from tradeloom.plans.star import StarBuild, build
-from tradeloom.session import written
+from tradeloom.session import stored
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
 from tradeloom.sources.raw import RAW_SCHEMA, SNAPSHOT_SCHEMA, location_rows, raw_rows, snapshot_rows
@@ -83,9 +83,9 @@ class Lake:
             shaped = self._shaped(spec, ingest(self.spark, pages, spec, whole_files), run_id)
             wanted = self._window(spec, shaped, mode, since, until)
             # Stored once: the upsert and the summary both read it, and the pages are parsed once.
-            rows = written(wanted, f"landing-{feed}")
-            land_rows(self.raw(feed), rows)
-            summary = load_summary(rows).first()
+            with stored(wanted, f"landing-{feed}") as rows:
+                land_rows(self.raw(feed), rows)
+                summary = load_summary(rows).first()
             if spec.incremental and not dry_run and summary["rows_total"]:
                 self._advance(feed, summary["max_updated_at"], run_id)
         except Exception as error:

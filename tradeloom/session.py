@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -67,6 +68,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As :func:`written`, for results that are not needed after the block."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def in_parallel(spark: SparkSession, jobs: Mapping[str, Callable[[], _T]], threads: int) -> dict[str, _T]:
     """Submit independent Spark jobs side by side; the first error is raised."""
     with ThreadPoolExecutor(threads) as pool:
