@@ -58,3 +58,17 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with one row for every value of ``keys`` (NULL is a value).
+
+    Only the keys are grouped; whole rows move only for keys that do occur more than once.
+    """
+    repeated = df.groupBy(keys).count().filter("count > 1").select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)])
+    n = repeated.count()
+    if not n:
+        return df
+    same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    side = sized(repeated, n, 128)
+    return df.join(side, same, "left_anti").unionByName(df.join(side, same, "left_semi").dropDuplicates(keys))
