@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact_dedup, language_id, packing, quality, simhash
+from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, simhash, topk, url_filters
 from tradeloom.llm.common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,29 @@ def language_network(docs: DataFrame) -> language_id.Network:
     return language_id.fit(docs, id_bucket("doc_id", 4) != 2)
 
 
+@query
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+#: The pages of these tables have no canonical or refresh links, so the form of a URL names its component.
+ORACLES["op1_url_filters"] = r"""
+WITH rules(action, rule_host, start) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+rest AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+forms AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '(/index)?(\.html)?/*$', '') || '?' ||
+  array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
+    x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS form FROM parts),
+ruled AS (SELECT url, max_by(action, length(rule_host || start)) AS action, max_by(rule_host || start, length(rule_host || start)) AS rule
+  FROM (SELECT DISTINCT url, host, path FROM parts) JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, start) GROUP BY url),
+decided AS (SELECT form, bool_or(action = 'allow') AS allowed FROM forms JOIN ruled USING (url) WHERE host <> '' GROUP BY form)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN allowed THEN 'allow' WHEN NOT allowed THEN 'block' END, 'allow') AS verdict
+FROM forms LEFT JOIN ruled USING (url) LEFT JOIN decided USING (form)
+""".replace("\\\\", "\\")
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -31,6 +54,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op3_exact_topk"] = """
+WITH sound AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.items(table(spark, sf_dir, "documents")))
@@ -61,3 +99,29 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.grouped(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "pages"))
+
+
+def _lines_sql() -> str:
+    text = "coalesce(html, '')"
+    for pattern, by in line_dedup.MARKUP:
+        text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+    for entity, by in line_dedup.ENTITIES:
+        quoted = by.replace("'", "''")
+        text = f"replace({text}, '{entity}', '{quoted}')"
+    return rf"list_filter(list_transform(string_split(regexp_replace(regexp_replace({text}, '[ \t\r\f]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), chr(10)), x -> trim(x)), x -> x <> '')"
+
+
+ORACLES["op10_line_dedup"] = f"""
+WITH own AS (SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END, '^[^/?#]*'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, {_lines_sql()} AS own FROM pages),
+sites AS (SELECT host, count(*) AS pages FROM own GROUP BY host),
+counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(own)) AS line FROM own) GROUP BY host, line),
+common AS (SELECT host, list(line) AS drops FROM counts JOIN sites USING (host) WHERE n >= {line_dedup.LEAST} AND n > {line_dedup.RATIO} * pages GROUP BY host),
+stay AS (SELECT page_id, host, own, list_filter(own, x -> NOT list_contains(coalesce(drops, []), x)) AS stay FROM own LEFT JOIN common USING (host))
+SELECT page_id, host, CAST(len(own) AS INTEGER) AS lines, CAST(len(own) - len(stay) AS INTEGER) AS dropped, array_to_string(stay, chr(10)) AS text FROM stay
+"""
