@@ -38,13 +38,13 @@ parts AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNO
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
 forms AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '(/index)?(\.html)?/*$', '') || '?' ||
   array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'),
-    x -> x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS form FROM parts),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS form FROM parts),
 ruled AS (SELECT url, max_by(action, length(rule_host || start)) AS action, max_by(rule_host || start, length(rule_host || start)) AS rule
   FROM (SELECT DISTINCT url, host, path FROM parts) JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, start) GROUP BY url),
 decided AS (SELECT form, bool_or(action = 'allow') AS allowed FROM forms JOIN ruled USING (url) WHERE host <> '' GROUP BY form)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN allowed THEN 'allow' WHEN NOT allowed THEN 'block' END, 'allow') AS verdict
 FROM forms LEFT JOIN ruled USING (url) LEFT JOIN decided USING (form)
-""".replace("\\\\", "\\")
+"""
 
 
 @query
@@ -60,8 +60,8 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_exact_topk"] = """
-WITH sound AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH sound AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
@@ -113,7 +113,7 @@ def _lines_sql() -> str:
     for entity, by in line_dedup.ENTITIES:
         quoted = by.replace("'", "''")
         text = f"replace({text}, '{entity}', '{quoted}')"
-    return rf"list_filter(list_transform(string_split(regexp_replace(regexp_replace({text}, '[ \t\r\f]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), chr(10)), x -> trim(x)), x -> x <> '')"
+    return rf"list_filter(list_transform(string_split(regexp_replace(regexp_replace({text}, '[ \t\r\f]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')"
 
 
 ORACLES["op10_line_dedup"] = f"""
@@ -122,6 +122,6 @@ WITH own AS (SELECT row_number() OVER () AS r, page_id, translate(regexp_extract
 sites AS (SELECT host, count(*) AS pages FROM own GROUP BY host),
 counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(own)) AS line FROM own) GROUP BY host, line),
 common AS (SELECT host, list(line) AS drops FROM counts JOIN sites USING (host) WHERE n >= {line_dedup.LEAST} AND n > {line_dedup.RATIO} * pages GROUP BY host),
-stay AS (SELECT page_id, host, own, list_filter(own, x -> NOT list_contains(coalesce(drops, []), x)) AS stay FROM own LEFT JOIN common USING (host))
+stay AS (SELECT page_id, host, own, list_filter(own, lambda x: NOT list_contains(coalesce(drops, []), x)) AS stay FROM own LEFT JOIN common USING (host))
 SELECT page_id, host, CAST(len(own) AS INTEGER) AS lines, CAST(len(own) - len(stay) AS INTEGER) AS dropped, array_to_string(stay, chr(10)) AS text FROM stay
 """
