@@ -34,6 +34,18 @@ def id_bucket(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def sample(df: DataFrame, rows: int, known: int, keys: list[str], ties: list[str]) -> DataFrame:
+    """The ``rows`` rows of ``df`` with the smallest hashes of ``keys``; ``known`` is its number of rows.
+
+    A bound on the hash keeps out all but about four times as many rows before anything is
+    sorted, so what reaches the driver does not grow with the table.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    if known > 4 * rows:
+        hashed = hashed.filter(F.col("_hash") <= -(1 << 63) + int((1 << 64) * (4 * rows / known)))
+    return hashed.orderBy("_hash", *ties).limit(rows).drop("_hash")
+
+
 def raw_text(column: str) -> Column:
     """UTF-8 bytes; NULL counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

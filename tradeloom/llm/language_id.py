@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, by_bytes, raw_text, spans
+from tradeloom.llm.common import bounded_batches, by_bytes, raw_text, sample, spans
 
 WINDOW, HIDDEN = 96, 6
 #: Labelled documents and windows of each that the network is fitted to, at most.
@@ -205,11 +205,11 @@ def fit(docs: DataFrame, usable: Column, fit_docs: int = FIT_DOCS) -> Network:
     ``FIT_WINDOWS`` windows a row, from anywhere in its text, reach the driver.
     """
     known = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.octet_length("text").alias("_n"), raw_text("text").alias("_bytes")).filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    labels = sorted(r[0] for r in known.select("_lang").distinct().collect())
-    chosen = known.orderBy(F.xxhash64("_id", "_n"), "_id", "_lang").limit(fit_docs)
+    seen = dict(known.groupBy("_lang").count().collect())
+    labels = sorted(seen)
     last = F.greatest(F.col("_n") - WINDOW, F.lit(0)) + 1
     cuts = [F.substring(F.col("_bytes"), (F.pmod(F.xxhash64("_id", F.lit(k)), last) + 1).cast("int"), F.lit(WINDOW)) for k in range(FIT_WINDOWS)]
-    rows = chosen.select("_id", "_lang", F.array(*cuts).alias("cuts")).collect()
+    rows = sample(known.select("_id", "_lang", F.array(*cuts).alias("cuts")), fit_docs, sum(seen.values()), ["_id"], ["_id", "_lang", "cuts"]).collect()
     rows.sort(key=lambda r: (str(r[0]), r[1], r[2]))
     number = {v: i for i, v in enumerate(labels)}
     texts = [bytes(c) for r in rows for c in r[2] if c]

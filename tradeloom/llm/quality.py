@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, id_bucket, raw_text
+from tradeloom.llm.common import bounded_batches, id_bucket, raw_text, sample
 
 WORD_SLOTS = 1 << 13
 #: Labelled rows that the model is fitted to, at most; dealt by a hash of the id.
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_of: int = 5, fit_rows: int
     spark = docs.sparkSession
     bounded_batches(spark)
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_label")).filter(F.col("_label").isin(0, 1) & (id_bucket("_id", held_out_of) != 0))
-    picked = known.orderBy(F.xxhash64("_id"), "_id", "_label").limit(fit_rows)
+    picked = sample(known, fit_rows, known.count(), ["_id"], ["_id", "_label"])
     inputs = docs.select(F.col("doc_id").alias("_id"), raw_text("text").alias("text"), F.col("n_chars").cast("double").alias("n"))
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,9 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_of: int = 5, fit_rows: int
                 cut = starts[1:]
                 yield pd.DataFrame({"id": pdf["_id"], "label": pdf["_label"], "ids": np.split(ids.astype(np.int32), cut), "x": np.split(x.astype(np.float32), cut)})
 
-    sample = inputs.join(F.broadcast(picked), "_id").mapInPandas(featurise, "id long, label int, ids array<int>, x array<float>").toPandas()
-    sample = sample.sort_values(["id", "label"], kind="stable")
-    return train([(int(y), np.asarray(i, np.int64), np.asarray(x, np.float64)) for y, i, x in zip(sample["label"], sample["ids"], sample["x"], strict=True)])
+    rows = inputs.join(F.broadcast(picked), "_id").mapInPandas(featurise, "id long, label int, ids array<int>, x array<float>").toPandas()
+    rows = rows.sort_values(["id", "label"], kind="stable")
+    return train([(int(y), np.asarray(i, np.int64), np.asarray(x, np.float64)) for y, i, x in zip(rows["label"], rows["ids"], rows["x"], strict=True)])
 
 
 def score(docs: DataFrame, model: Machine, into: str = "score") -> DataFrame:
