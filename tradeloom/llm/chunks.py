@@ -2,43 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 
 from tradeloom.llm.common import spans
 
 
+class _Numbers(dict):
+    """Numbers chunks as they come and keeps the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
+
+
 class ChunkPool:
     """Remembers the ids of chunks; forgets them all when there are too many."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.lengths = np.zeros(0, np.int64)
-
-    def _learn(self, chunks: Iterable[str]) -> None:
-        new = [c for c in chunks if c not in self.number]
-        if len(self.number) + len(new) > self.most and self.number:
-            self._clear()
-            return self._learn(chunks)
-        if new:
-            ids, lengths = self.encode(new)
-            self.number.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
-            self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
+        self.numbers = _Numbers()
+        self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def tokens(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has; a text is a list of chunks."""
-        distinct: dict[str, None] = {}
-        for chunks in texts:
-            distinct.update(dict.fromkeys(chunks))
-        self._learn(distinct)
+        if len(self.numbers) > self.most:
+            self._clear()
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
-        which = np.fromiter((n for chunks in texts for n in map(self.number.__getitem__, chunks)), np.int64, int(counts.sum()))
+        number = self.numbers.__getitem__
+        which = np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(number, chunks), np.int64, len(chunks)) for chunks in texts)])
+        if self.numbers.new:
+            ids, lengths = self.encode(self.numbers.new)
+            self.numbers.new = []
+            self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
         lengths = self.lengths[which]
         starts = np.cumsum(self.lengths) - self.lengths
         ends = np.concatenate([[0], np.cumsum(lengths)])

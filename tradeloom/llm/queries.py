@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, simhash, topk, url_filters
+from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters
 from tradeloom.llm.common import id_bucket, table
 
+#: Vocabulary files of public tokenizers.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+PIECE_MODEL, BYTE_RANKS = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -74,6 +79,28 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.items(table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document as a digest, and whether they decode to its text."""
+    pieces = sentencepiece_match.load(PIECE_MODEL)
+    tokens = sentencepiece_match.decode(sentencepiece_match.encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    return tokens.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("ids"), F.lit(0)) / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("same_text"),
+    )
+
+
+@query
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every packed row that was written: a digest of its ids, its segments and their documents."""
+    packed = token_output.write(token_output.pack(table(spark, sf_dir, "documents"), token_output.ranks(BYTE_RANKS)))
+    ids = F.sha2("input_ids", 256).alias("ids_sha256")
+    return packed.select("shard", "bin", ids, F.size("doc_ids").alias("segments"), F.element_at("cu_seqlens", -1).alias("tokens"), "cu_seqlens", "position_resets", "doc_ids", "pieces")
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

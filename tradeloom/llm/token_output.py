@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -54,7 +55,7 @@ def pool(vocabulary: dict[bytes, int]) -> ChunkPool:
     def encode(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [coder.encode_ordinary(p) for p in parts]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for f in found for i in f), np.int32, int(lengths.sum())), lengths
+        return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
 
     return ChunkPool(encode)
 
