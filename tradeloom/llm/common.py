@@ -34,6 +34,14 @@ def id_bucket(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sample(df: DataFrame, rows: int, known: int, keys: list[str], ties: list[str]) -> DataFrame:
     """The ``rows`` rows of ``df`` with the smallest hashes of ``keys``; ``known`` is its number of rows.
 
@@ -77,10 +85,12 @@ def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Only the keys are grouped; whole rows move only for keys that do occur more than once.
     """
-    repeated = df.groupBy(keys).count().filter("count > 1").select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)])
+    names = {k: free(df, f"_{k}_again") for k in keys}
+    counts = df.groupBy(*[F.col(k).alias(r) for k, r in names.items()]).agg(F.count("*").alias(free(df, "_rows")))
+    repeated = counts.filter(F.col(counts.columns[-1]) > 1).drop(counts.columns[-1])
     n = repeated.count()
     if not n:
         return df
-    same = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
     side = sized(repeated, n, 128)
     return df.join(side, same, "left_anti").unionByName(df.join(side, same, "left_semi").dropDuplicates(keys))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm import fuse
-from tradeloom.llm.common import bounded_batches, one_of_each, raw_text, sized
+from tradeloom.llm.common import bounded_batches, free, one_of_each, raw_text, sized
 from tradeloom.session import written
 
 #: Distinct digests in a filter, about.
@@ -112,8 +112,9 @@ def resolve(docs: DataFrame, batches: int = 3, digest: Callable[[str], Column] =
 def kept(docs: DataFrame, batches: int = 3) -> DataFrame:
     """``docs`` with one row of every group of equal texts and all its columns."""
     marks = written(resolve(docs, batches), "marks")
-    gone = marks.filter(~F.col("kept")).select(F.col("id").alias("_id"), F.col("digest").alias("_gone")).distinct()
+    own, gone_id, gone_digest = (free(docs, n) for n in ("_digest", "_gone_id", "_gone_digest"))
+    gone = marks.filter(~F.col("kept")).select(F.col("id").alias(gone_id), F.col("digest").alias(gone_digest)).distinct()
     gone = written(gone, "gone")
-    same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_digest") == F.col("_gone")]
-    stay = docs.withColumn("_digest", sha256("text")).join(sized(gone, gone.count(), 200), same, "left_anti")
-    return one_of_each(stay, ["doc_id", "_digest"]).drop("_digest")
+    same = [F.col("doc_id").eqNullSafe(F.col(gone_id)), F.col(own) == F.col(gone_digest)]
+    stay = docs.withColumn(own, sha256("text")).join(sized(gone, gone.count(), 200), same, "left_anti")
+    return one_of_each(stay, ["doc_id", own]).drop(own)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, by_bytes, raw_text, sample, spans
+from tradeloom.llm.common import bounded_batches, by_bytes, free, raw_text, sample, spans
 
 WINDOW, HIDDEN = 96, 6
 #: Labelled documents and windows of each that the network is fitted to, at most.
@@ -204,7 +204,8 @@ def fit(docs: DataFrame, usable: Column, fit_docs: int = FIT_DOCS) -> Network:
     Rows and windows are dealt by hashes, so a rerun fits the same network. At most
     ``FIT_WINDOWS`` windows a row, from anywhere in its text, reach the driver.
     """
-    known = docs.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.octet_length("text").alias("_n"), raw_text("text").alias("_bytes")).filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    known = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    known = known.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.octet_length("text").alias("_n"), raw_text("text").alias("_bytes"))
     seen = dict(known.groupBy("_lang").count().collect())
     labels = sorted(seen)
     last = F.greatest(F.col("_n") - WINDOW, F.lit(0)) + 1
@@ -238,11 +239,13 @@ def identify(docs: DataFrame, net: Network, into: tuple[str, str] = ("lang_pred"
             yield pd.DataFrame({"label": np.array(model.labels, object)[best], "score": np.minimum(p[np.arange(len(p)), best], 1.0)})
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    found = docs.withColumn("_found", predicted(F.when(lettered, raw_text("text")).otherwise(F.lit(b""))))
-    return found.withColumns({label: F.when(lettered, F.col("_found.label")).otherwise(UNKNOWN), score: F.when(lettered, F.col("_found.score")).otherwise(0.0)}).drop("_found")
+    own = free(docs, "_found")
+    found = docs.withColumn(own, predicted(F.when(lettered, raw_text("text")).otherwise(F.lit(b""))))
+    return found.withColumns({label: F.when(lettered, F.col(f"{own}.label")).otherwise(UNKNOWN), score: F.when(lettered, F.col(f"{own}.score")).otherwise(0.0)}).drop(own)
 
 
-def recognised(docs: DataFrame, net: Network, least: float = 0.4) -> DataFrame:
+def recognised(docs: DataFrame, net: Network, least: float = 0.35) -> DataFrame:
     """The documents in a known language with at least this probability, with their own columns."""
-    found = identify(docs, net, ("_lang_pred", "_lang_score"))
-    return found.filter((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least)).drop("_lang_pred", "_lang_score")
+    label, score = free(docs, "_lang_pred"), free(docs, "_lang_score")
+    found = identify(docs, net, (label, score))
+    return found.filter((F.col(label) != UNKNOWN) & (F.col(score) >= least)).drop(label, score)

@@ -83,10 +83,13 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TO
     pieces = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
     start = F.col("piece") * capacity
     pieces = pieces.select("doc_id", "source", F.when(F.col("tokens") > capacity, F.coalesce("cluster", F.xxhash64("doc_id"))).otherwise(F.col("cluster")).alias("cluster"), "piece", start.alias("start"), F.least(F.col("tokens") - start, F.lit(capacity).cast("long")).alias("tokens"))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)).alias("shard")
+    # Long numbers with NULLs among them would be rounded in pandas.
+    plain = [F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), F.col("cluster").cast("string").alias("cluster")]
+    dealt = pieces.select(*plain, "source", "piece", "start", "tokens", shard)
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tokens", "doc_id", "piece", "cluster", "source"], ascending=[False, True, True, True, True], kind="stable", na_position="first")
+        pdf = pdf.sort_values(["tokens", "nameless", "doc_id", "piece", "cluster", "source"], ascending=[False, False, True, True, True, True], kind="stable", na_position="first")
         bins = np.array(best_fit(pdf["tokens"].tolist(), _numbers(pdf["source"]), _numbers(pdf["cluster"], True), capacity), np.int64)
         sizes = pdf["tokens"].to_numpy(np.int64)
         order = np.argsort(bins, kind="stable")
@@ -95,6 +98,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TO
         before = np.repeat((ends - sizes[order])[starts], np.diff(starts, append=len(order)))
         offset = np.empty(len(pdf), np.int64)
         offset[order] = ends - sizes[order] - before
-        return pdf.assign(bin=bins, offset=offset)[["doc_id", "piece", "start", "tokens", "shard", "bin", "offset"]]
+        return pdf.assign(bin=bins, offset=offset)[["doc_id", "nameless", "piece", "start", "tokens", "shard", "bin", "offset"]]
 
-    return dealt.groupBy("shard").applyInPandas(packed, "doc_id long, piece long, start long, tokens long, shard long, bin long, offset long")
+    placed = dealt.groupBy("shard").applyInPandas(packed, "doc_id long, nameless boolean, piece long, start long, tokens long, shard long, bin long, offset long")
+    return placed.withColumn("doc_id", F.when(~F.col("nameless"), F.col("doc_id"))).drop("nameless")

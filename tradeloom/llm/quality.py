@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, id_bucket, raw_text, sample
+from tradeloom.llm.common import bounded_batches, free, id_bucket, raw_text, sample
 
 WORD_SLOTS = 1 << 13
 #: Labelled rows that the model is fitted to, at most; dealt by a hash of the id.
@@ -189,4 +189,5 @@ def score(docs: DataFrame, model: Machine, into: str = "score") -> DataFrame:
 
 def good(docs: DataFrame, model: Machine, threshold: float = 0.3) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns."""
-    return score(docs, model, "_quality").filter(F.col("_quality") >= threshold).drop("_quality")
+    own = free(docs, "_quality")
+    return score(docs, model, own).filter(F.col(own) >= threshold).drop(own)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, by_bytes, one_of_each, raw_text, sized
+from tradeloom.llm.common import bounded_batches, by_bytes, free, one_of_each, raw_text, sized
 from tradeloom.llm.components import components
 from tradeloom.session import written
 
@@ -204,7 +204,8 @@ def kept(docs: DataFrame) -> DataFrame:
     best = rows.filter(first).groupBy("root").agg(F.min("hash").alias("best"))
     second = rows.filter(first).join(best, "root").filter(F.col("hash") != F.col("best"))
     gone = rows.filter(~first).select("doc_id", "hash").unionByName(second.select("doc_id", "hash"))
-    gone = written(gone.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_gone")).distinct(), "gone")
-    same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_hash") == F.col("_gone")]
-    stay = docs.withColumn("_hash", F.xxhash64("text")).join(sized(gone, gone.count(), 80), same, "left_anti")
-    return one_of_each(stay, ["doc_id", "_hash"]).drop("_hash")
+    own, gone_id, gone_hash = (free(docs, n) for n in ("_hash", "_gone_id", "_gone_hash"))
+    gone = written(gone.select(F.col("doc_id").alias(gone_id), F.col("hash").alias(gone_hash)).distinct(), "gone")
+    same = [F.col("doc_id").eqNullSafe(F.col(gone_id)), F.col(own) == F.col(gone_hash)]
+    stay = docs.withColumn(own, F.xxhash64("text")).join(sized(gone, gone.count(), 80), same, "left_anti")
+    return one_of_each(stay, ["doc_id", own]).drop(own)

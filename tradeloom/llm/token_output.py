@@ -115,7 +115,7 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pieces(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH) -> DataFrame:
-    """``(doc_id, piece, tokens, ids)``: the ids of every document, at most ``length`` in a row."""
+    """``(doc_id, nameless, piece, tokens, ids)``: the ids of every document, at most ``length`` in a row."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -126,16 +126,18 @@ def pieces(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH)
         for pdf in batches:
             ids, counts = known.tokens([chunks(t) if t else [] for t in pdf["text"]])
             edges = np.concatenate([[0], np.cumsum(counts)])
-            out: tuple[list, ...] = ([], [], [], [])
-            for k, doc in enumerate(pdf["doc_id"]):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for k, (doc, nameless) in enumerate(zip(pdf["doc_id"], pdf["nameless"], strict=True)):
                 own = np.append(ids[edges[k] : edges[k + 1]], end).astype(kind)
                 for nth, at in enumerate(range(0, len(own), length)):
                     part = own[at : at + length]
-                    for column, value in zip(out, (doc, nth, len(part), part.tobytes()), strict=True):
+                    for column, value in zip(out, (doc, nameless, nth, len(part), part.tobytes()), strict=True):
                         column.append(value)
-            yield pd.DataFrame({"doc_id": pd.array(out[0], "Int64"), "piece": out[1], "tokens": out[2], "ids": out[3]})
+            yield pd.DataFrame(dict(zip(("doc_id", "nameless", "piece", "tokens", "ids"), out, strict=True)))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, "doc_id long, piece int, tokens int, ids binary")
+    # Long numbers with NULLs among them would be rounded in pandas.
+    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "text")
+    return plain.mapInPandas(cut, "doc_id long, nameless boolean, piece int, tokens int, ids binary")
 
 
 def id_type(vocabulary: dict[bytes, int]) -> str:
@@ -151,7 +153,7 @@ def pack(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH, sh
     dealt = pieces(docs, vocabulary, length).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "tokens"), F.lit(shards)))
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tokens", "doc_id", "piece", "ids"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["tokens", "nameless", "doc_id", "piece", "ids"], ascending=[False, False, True, True, True], kind="stable")
         bins = np.array(best_fit_decreasing(pdf["tokens"].tolist(), length))
         pdf = pdf.iloc[np.argsort(bins, kind="stable")]
         starts = np.flatnonzero(np.diff(np.sort(bins), prepend=-1))
@@ -162,7 +164,7 @@ def pack(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH, sh
             ids = np.frombuffer(b"".join(pdf["ids"].iloc[a:b]), kind)
             matrix[row, : len(ids)] = ids
             ends = np.concatenate([[0], np.cumsum(sizes[a:b])]).astype(np.int32)
-            out.append((ends, ends[:-1], [None if pd.isna(d) else int(d) for d in pdf["doc_id"].iloc[a:b]], pdf["piece"].iloc[a:b].tolist()))
+            out.append((ends, ends[:-1], [None if lost else d for d, lost in zip(pdf["doc_id"].iloc[a:b].tolist(), pdf["nameless"].iloc[a:b], strict=True)], pdf["piece"].iloc[a:b].tolist()))
         return pd.DataFrame(
             {
                 "shard": pdf["shard"].iloc[0],
