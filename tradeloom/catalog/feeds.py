@@ -9,7 +9,7 @@ for each.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from tradeloom.sources.raw import location_rows, raw_rows, scan, snapshot_rows
 
 RUN_ID = "00000000-0000-0000-0000-000000000001"
 AS_OF = "2024-02-01 00:00:00"
-PER_DOCUMENT = 64
+PARTS = 4
 NEXT_DOCUMENT = 10**12
 MONEY = "decimal(18,2)"
 EXPLICIT_NULLS = {"ignoreNullFields": "false"}
@@ -71,19 +71,17 @@ def line_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def in_shards(rows: DataFrame, keys: Sequence[str], row_id: str, size: int = PER_DOCUMENT) -> DataFrame:
-    """Add ``shard``: 0, or for keys with more than ``size`` rows a spread number.
+def in_parts(rows: DataFrame, row_id: str) -> DataFrame:
+    """Add ``part``: which of a key's documents a row belongs to, by its own id alone.
 
-    A document is one row, so a key with very many rows becomes several
-    documents. Only oversized keys are joined back, and each of them once.
+    Every key has up to ``PARTS`` documents, however many rows it has.
     """
-    large = (
-        rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > size)
-        .select(*keys, F.ceil(F.col("_n") / size).alias("_shards"))
-    )
-    return rows.join(large, list(keys), "left").withColumn(
-        "shard", F.coalesce(F.pmod(F.col(row_id), F.col("_shards")), F.lit(0)).cast("bigint")
-    ).drop("_shards")
+    return rows.withColumn("part", F.pmod(F.col(row_id), F.lit(PARTS)).cast("bigint"))
+
+
+def sold_as(part: Column) -> Column:
+    """The product an order mentions: every tenth part is sold under an id that is listed nowhere."""
+    return F.when(part % 10 == 9, part + 10**9).otherwise(part)
 
 
 def _gateway(priority: str) -> Column:
@@ -97,8 +95,8 @@ def _line_item(x: Column) -> Column:
     blank = F.lit("")
     return F.struct(
         x.line_id.alias("id"),
-        F.when(x.line_id % 11 == 0, blank).otherwise(x.l_partkey.cast("string")).alias("product_id"),
-        F.when(x.line_id % 23 != 0, x.l_partkey * 10 + x.l_linenumber % 3).alias("variant_id"),
+        F.when(x.line_id % 11 == 0, blank).otherwise(sold_as(x.l_partkey).cast("string")).alias("product_id"),
+        F.when(x.line_id % 23 != 0, sold_as(x.l_partkey) * 10 + x.l_linenumber % 3).alias("variant_id"),
         x.qty.cast("string").alias("quantity"),
         x.price.cast("string").alias("price"),
         F.when(x.pct > 5, (x.price + 10).cast("string")).alias("price_original"),
@@ -136,11 +134,11 @@ def _refund(x: Column, gateway: Column) -> Column:
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with nested line items, refunds and transactions."""
-    lines = in_shards(line_rows(spark, sf), ["l_orderkey"], "line_id")
+    lines = in_parts(line_rows(spark, sf), "line_id")
     carried = [
         "line_id", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "qty", "price", "pct",
     ]
-    nested = lines.groupBy("l_orderkey", "shard").agg(
+    nested = lines.groupBy("l_orderkey", "part").agg(
         F.sort_array(F.collect_list(F.struct(*carried))).alias("ls"),
         F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("line_id") % 29 != 0), F.col("price"))).alias("back"),
     )
@@ -149,11 +147,11 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
     headers = table(spark, sf, "orders")
     filled = headers.join(nested.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
     used = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    bare = headers.join(used, "o_orderkey", "left_anti").withColumn("shard", F.lit(0).cast("bigint"))
+    bare = headers.join(used, "o_orderkey", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
     o = filled.unionByName(bare, allowMissingColumns=True).withColumn("ls", F.coalesce("ls", F.array()))
     k, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    order_id = (k + F.col("shard") * NEXT_DOCUMENT).cast("bigint")
-    total = F.when(F.col("shard") == 0, money("o_totalprice")).otherwise(F.lit(0).cast(MONEY)).cast("string")
+    order_id = (k + F.col("part") * NEXT_DOCUMENT).cast("bigint")
+    total = F.when(F.col("part") == 0, money("o_totalprice")).otherwise(F.lit(0).cast(MONEY)).cast("string")
     gateway = _gateway("o_orderpriority")
     returned = F.filter("ls", lambda x: x.l_returnflag == "R")
     guest = k % 17 == 0
@@ -199,7 +197,7 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
 def adjustment_items(spark: SparkSession, sf: str) -> DataFrame:
     """One stock correction per supplier and shipping month."""
     month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
-    lines = in_shards(line_rows(spark, sf).withColumn("ym", month), ["l_suppkey", "ym"], "line_id")
+    lines = in_parts(line_rows(spark, sf).withColumn("ym", month), "line_id")
 
     def item(x: Column) -> Column:
         return F.struct(
@@ -213,9 +211,9 @@ def adjustment_items(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     carried = ["line_id", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "qty", "price"]
-    nested = lines.groupBy("l_suppkey", "ym", "shard").agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("ls"))
+    nested = lines.groupBy("l_suppkey", "ym", "part").agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("ls"))
     s = F.col("l_suppkey")
-    id = (s * 1_000_000 + F.col("ym") + F.col("shard") * 10**14).cast("bigint")
+    id = (s * 1_000_000 + F.col("ym") + F.col("part") * 10**14).cast("bigint")
     month_text = F.concat(F.substring(F.col("ym").cast("string"), 1, 4), F.lit("-"), F.substring(F.col("ym").cast("string"), 5, 2))
     doc = F.struct(
         id.alias("id"),
@@ -252,8 +250,7 @@ def customer_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def product_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts above size 45 are delisted: other feeds still mention them."""
-    p = table(spark, sf, "part").filter("p_size <= 45")
+    p = table(spark, sf, "part")
     key, size = F.col("p_partkey"), F.col("p_size")
 
     def variant(i: Column) -> Column:
