@@ -1,7 +1,9 @@
 """Pages, raw rows and seeds."""
 
 import json
+import os
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from conftest import at, rows
@@ -9,6 +11,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tradeloom.functions.documents import parse, strict, typed
+from tradeloom.operators.upsert import last_arrivals
 from tradeloom.sources.domains import DOMAINS, domain
 from tradeloom.sources.pages import ingest
 from tradeloom.sources.raw import location_rows, raw_rows, snapshot_rows
@@ -33,7 +37,7 @@ def test_pretty_printed_file_takes_its_number_from_the_name(spark, tmp_path):
     body = json.dumps({"adjustments": [{"id": 7}]}, indent=2)
     (tmp_path / "page-00012.json").write_text(body)
     got = ingest(spark, str(tmp_path), domain("inventory_adjustments"), whole_files=True)
-    assert rows(got, "page", "position", "item") == [(12, 0, '{"id":7}')]
+    assert rows(got, "page", "position", "item") == [(12, 0, json.dumps({"id": 7}, indent=2).replace("\n", "\n    "))]
 
 
 def test_broken_page_is_an_error(spark, tmp_path):
@@ -95,3 +99,22 @@ def test_holiday_seed(spark, tmp_path):
     row = read_holidays(spark, str(tmp_path / "h.csv")).first()
     assert (row.date.isoformat(), row.holiday_name, row.is_public_holiday) == ("2026-02-17", "Tết Nguyên Đán", True)
     assert isinstance(at("2026-01-01"), datetime)
+
+
+def test_items_keep_their_text_and_amounts_their_digits(spark, tmp_path):
+    item = '{"id": 1, "a":12345678901234567.89,"b":1.10, "updated_at":"2026-01-01T00:00:00Z"}'
+    (tmp_path / "1.jsonl").write_text('{"orders":[' + item + "]}\n")
+    got = ingest(spark, str(tmp_path), domain("orders"))
+    assert rows(got, "item") == [(item,)]
+    fields = [strict("a", "a", "decimal(20,2)"), strict("b", "b", "decimal(20,2)")]
+    amounts = parse(got, fields, payload="item").select(*typed(fields, "doc"))
+    assert rows(amounts, "a", "b") == [(Decimal("12345678901234567.89"), Decimal("1.10"))]
+
+
+def test_a_later_crawl_beats_an_earlier_one_at_equal_age(spark, tmp_path):
+    for name, number, note, when in (("a", 9, "old", 1_000), ("b", 1, "new", 2_000)):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text(json.dumps({"page": number, "orders": [{"id": 1, "updated_at": "2026-01-01T00:00:00Z", "note": note}]}) + "\n")
+        os.utime(path, (when, when))
+    landed = last_arrivals(raw_rows(ingest(spark, str(tmp_path), domain("orders")), "run"))
+    assert rows(landed, F.get_json_object("payload", "$.note")) == [("new",)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.catalog.feeds import (
@@ -48,15 +48,27 @@ def save_pages(items: DataFrame, envelope: str, page: str, order: str, path: str
 
 def saved_customer_pages(spark: SparkSession, sf: str) -> str:
     items = customer_items(spark, sf).withColumn("n", F.get_json_object("item", "$.id").cast("bigint"))
+    # An unquoted amount of 18 digits, which no double can hold.
+    cents = F.lpad((F.col("n") % 100).cast("string"), 2, "0")
+    amount = F.concat((F.col("n") + 10**15).cast("string"), F.lit("."), cents)
+    items = items.withColumn("item", F.concat(F.expr("left(item, length(item) - 1)"), F.lit(',"balance":'), amount, F.lit("}")))
     path = scratch(spark, "pages")
     save_pages(items.withColumn("page_no", F.floor(F.col("n") / PAGE_SIZE)), "customers", "page_no", "n", path)
     return path
 
 
+BALANCE_SQL = "(c_custkey + 1000000000000000) || '.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0')"
+
+
+def _balance(payload: str) -> Column:
+    """The exact amount as the staging tables read it."""
+    return F.variant_get(F.parse_json(F.col(payload)), "$.balance", "decimal(18,2)").cast("string")
+
+
 @query(
     "ingest_pages",
     f"""SELECT c_custkey // {PAGE_SIZE} AS page, CAST(c_custkey % {PAGE_SIZE} AS INTEGER) AS position, c_custkey AS id, c_name AS last_name,
-c_acctbal < 0 AS disabled FROM customer""",
+c_acctbal < 0 AS disabled, {BALANCE_SQL} AS balance, {BALANCE_SQL} AS balance_text FROM customer""",
 )
 def _(spark, sf):
     items = ingest(spark, saved_customer_pages(spark, sf), domain("customers"))
@@ -65,6 +77,8 @@ def _(spark, sf):
         F.get_json_object("item", "$.id").cast("bigint").alias("id"),
         F.get_json_object("item", "$.last_name").alias("last_name"),
         (F.get_json_object("item", "$.state") == "disabled").alias("disabled"),
+        _balance("item").alias("balance"),
+        F.regexp_extract("item", '"balance":([0-9.]+)}$', 1).alias("balance_text"),
     )
 
 
@@ -317,7 +331,7 @@ def _(spark, sf):
 
 @query(
     "stream_landing",
-    """SELECT c_custkey AS id, c_name AS last_name,
+    f"""SELECT c_custkey AS id, c_name AS last_name, {BALANCE_SQL} AS balance,
 CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS TIMESTAMP) AS updated_at FROM customer""",
 )
 def _(spark, sf):
@@ -329,7 +343,8 @@ def _(spark, sf):
             spark, pages, store, domain("customers"), scratch(spark, f"stream-{attempt}"), RUN_ID, as_of(), files_per_batch=8
         )
         job.awaitTermination()
-    return store.read().select("id", F.get_json_object("payload", "$.last_name").alias("last_name"), "updated_at")
+    landed = store.read()
+    return landed.select("id", F.get_json_object("payload", "$.last_name").alias("last_name"), "updated_at", _balance("payload").alias("balance"))
 
 
 @query("stream_append", "SELECT event_id AS id, ts AS updated_at, event_type FROM events")

@@ -1,8 +1,9 @@
 """Typed columns out of JSON documents, parsed once per row.
 
 A table is described by a list of :class:`Field`. From that list come both the
-schema given to ``from_json`` (every leaf is text, as documents mix numbers and
-numeric strings) and the typed projection. ``keep`` narrows the list *before*
+schema of the parsed document (every leaf is text, as documents mix numbers and
+numeric strings) and the typed projection. Parsing goes through a variant, which
+keeps decimal numbers as they are written; ``from_json`` would round them to doubles. ``keep`` narrows the list *before*
 parsing: Catalyst prunes columns of a scan but not fields of a parsed document
 that several columns share, so the narrowing is done here.
 """
@@ -17,9 +18,6 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.values import blank_to_null
 
-# A malformed document is an error, as it would be in a typed JSON column.
-PARSE_OPTIONS = {"mode": "FAILFAST"}
-
 
 @dataclass(frozen=True)
 class Field:
@@ -69,8 +67,8 @@ def texts(*names: str) -> list[Field]:
     return [strict(n, n) for n in names]
 
 
-def schema_of(fields: Iterable[Field]) -> str:
-    """DDL of the parsed document."""
+def struct_of(fields: Iterable[Field]) -> str:
+    """Fields of the parsed document, as the inside of a struct type."""
     tree: dict[str, object] = {}
     for f in fields:
         for path in f.paths:
@@ -80,8 +78,8 @@ def schema_of(fields: Iterable[Field]) -> str:
             else:
                 tree[head] = f.ddl_type
     return ", ".join(
-        f"`{k}` {v}" if isinstance(v, str)
-        else f"`{k}` struct<{', '.join(f'`{n}`: {t}' for n, t in v.items())}>"
+        f"`{k}`: {v}" if isinstance(v, str)
+        else f"`{k}`: struct<{', '.join(f'`{n}`: {t}' for n, t in v.items())}>"
         for k, v in tree.items()
     )
 
@@ -99,11 +97,15 @@ def narrowed(fields: Sequence[Field], keep: Iterable[str] | None) -> list[Field]
 def parse(
     df: DataFrame, fields: Sequence[Field], payload: str = "payload", doc: str = "doc"
 ) -> DataFrame:
-    """Replace the payload text by its parsed form."""
+    """Replace the payload text by its parsed form.
+
+    A malformed document is an error, as it would be in a typed JSON column; of
+    a repeated key the last value counts, as it would there.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     others = [c for c in df.columns if c != payload]
-    return df.select(
-        F.from_json(payload, schema_of(fields), PARSE_OPTIONS).alias(doc), *others
-    )
+    whole = F.variant_get(F.parse_json(F.col(payload)), "$", f"struct<{struct_of(fields)}>")
+    return df.select(whole.alias(doc), *others)
 
 
 def typed(fields: Sequence[Field], source: str) -> list[Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators.pick import latest_by
 
-ARRIVAL = ("page", "position")
+ARRIVAL = ("file_time", "page", "position")
 
 
 def _check_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:

@@ -8,46 +8,57 @@ from pyspark.sql import functions as F
 from tradeloom.sources.domains import Domain
 
 PAGE_NUMBER_IN_NAME = r"(\d+)[^/\d]*$"
+# A malformed page is an error.
+_OPTIONS = {"mode": "FAILFAST"}
 
 
-def read_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Pages as text, one per line or (``whole_files``) one per file.
+def read_pages(spark: SparkSession, path: str, domain: Domain, whole_files: bool = False) -> DataFrame:
+    """Page number, items as text and file of every page, one page per line or (``whole_files``) per file.
 
     One per line packs many pages into a file, which suits large archives;
-    one per file allows pretty-printed documents.
+    one per file allows pretty-printed documents. The reader, unlike
+    ``from_json``, hands on the text of an item byte for byte.
     """
-    return _with_file(spark.read.text(path, wholetext=whole_files))
+    reader = spark.read.schema(_schema(domain)).options(**_OPTIONS, multiLine=whole_files)
+    return _with_file(reader.json(path))
 
 
-def stream_pages(spark: SparkSession, path: str, whole_files: bool = False, files_per_batch: int = 1000) -> DataFrame:
+def stream_pages(
+    spark: SparkSession, path: str, domain: Domain, whole_files: bool = False, files_per_batch: int = 1000
+) -> DataFrame:
     """The same as a file stream."""
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return _with_file(reader.text(path, wholetext=whole_files))
+    reader = spark.readStream.schema(_schema(domain)).options(**_OPTIONS, multiLine=whole_files)
+    return _with_file(reader.option("maxFilesPerTrigger", files_per_batch).json(path))
+
+
+def _schema(domain: Domain) -> str:
+    return f"`page` bigint, `{domain.envelope}` array<string>"
 
 
 def _with_file(pages: DataFrame) -> DataFrame:
-    return pages.select("value", F.col("_metadata.file_name").alias("file"))
+    file = F.col("_metadata")
+    return pages.select("*", file["file_name"].alias("file"), file["file_modification_time"].alias("file_time"))
 
 
 def explode_items(pages: DataFrame, domain: Domain) -> DataFrame:
-    """One row per item with its arrival order ``(page, position)``.
+    """One row per item with its arrival order ``(file_time, page, position)``.
 
     A page without the envelope key has no items. The page number is the
-    envelope's ``page`` if present, else the digits that end the file name.
+    envelope's ``page`` if present, else the digits that end the file name. A
+    later crawl's first page comes after an earlier crawl's last one.
     """
-    schema = f"`page` bigint, `{domain.envelope}` array<string>"
-    envelope = F.from_json("value", schema, {"mode": "FAILFAST"})
     number: Column = F.coalesce(
-        F.col("envelope.page"),
+        F.col("page"),
         F.expr("try_cast(regexp_extract(file, r'%s', 1) AS bigint)" % PAGE_NUMBER_IN_NAME),
         F.lit(0),
     )
-    return pages.select(envelope.alias("envelope"), "file").select(
+    return pages.select(
+        "file_time",
         number.cast("bigint").alias("page"),
         # Outer, then filtered: see ``operators.staging.elements``.
-        F.posexplode_outer(f"envelope.{domain.envelope}").alias("position", "item"),
+        F.posexplode_outer(domain.envelope).alias("position", "item"),
     ).filter("item IS NOT NULL")
 
 
 def ingest(spark: SparkSession, path: str, domain: Domain, whole_files: bool = False) -> DataFrame:
-    return explode_items(read_pages(spark, path, whole_files), domain)
+    return explode_items(read_pages(spark, path, domain, whole_files), domain)
