@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from functools import partial
 
 import pytest
 from conftest import rows
@@ -10,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tradeloom.plans.lake import Lake
+from tradeloom.session import in_parallel
 
 
 @pytest.fixture
@@ -77,8 +79,51 @@ def test_stream_lands_new_files_and_moves_the_watermark(lake, tmp_path):
     lake.stream("orders", folder)
     assert rows(lake.raw("orders").read(), "id") == [(1,), (12,), (2,)]
     assert mark(lake) == [("orders", "2026-05-09")]
-    assert rows(lake.run_log(), "rows_ingested", "status") == [(0, "success"), (1, "success"), (2, "success")]
-    assert rows(lake.freshness(F.current_timestamp()), "source", "status") == [("orders", "pass")]
+    assert rows(lake.run_log(), "rows_ingested", "status") == [(0, "success"), (2, "success"), (2, "success")]
+    ages = dict(rows(lake.freshness(F.current_timestamp()), "source", "status"))
+    assert ages.pop("orders") == "pass" and set(ages.values()) == {"error"} and len(ages) == 8
+
+
+def test_stream_and_land_log_the_same(lake, spark, tmp_path):
+    pages = save(tmp_path, "a", "orders", doc(1, 9), doc(1, 3), doc(12, 5))
+    other = Lake(spark, str(tmp_path / "other"), id_bucket=10)
+    other.stream("orders", pages)
+    assert lake.land("orders", pages, mode="full") == 3
+    assert rows(lake.run_log(), "rows_ingested") == rows(other.run_log(), "rows_ingested") == [(3,)]
+    assert mark(lake) == mark(other)
+
+
+def test_a_run_that_died_before_its_watermark_is_caught_up(lake, tmp_path, monkeypatch):
+    folder = save(tmp_path, "a", "orders", doc(1, 1), doc(12, 9))
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "_advance", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.stream("orders", folder)
+    assert mark(lake) == []
+    lake.stream("orders", folder)
+    lake.stream("orders", folder)
+    assert mark(lake) == [("orders", "2026-05-09")]
+    assert rows(lake.run_log(), "rows_ingested", "status") == [(0, "failed"), (0, "success"), (2, "success")]
+
+
+def test_two_feeds_at_once_both_show(lake, spark, tmp_path):
+    pages = {f: save(tmp_path, f, f, doc(1, 1), doc(2, 2)) for f in ("orders", "customers", "products")}
+    in_parallel(spark, {f: partial(lake.land, f, p) for f, p in pages.items()}, 3)
+    assert rows(lake.status(), "domain", "rows_ingested") == [(f, 2) for f in sorted(pages)]
+    assert mark(lake) == [(f, "2026-05-02") for f in sorted(pages)]
+
+
+def test_what_was_never_landed(lake):
+    assert rows(lake.validate({"orders": 7}), "domain", "drift", "ok") == [("orders", 1.0, False)]
+    with pytest.raises(ValueError, match="not landed yet"):
+        lake.build_star(None, None, None)
+
+
+def test_old_versions_are_freed(lake, tmp_path):
+    for n in range(6):
+        lake.land("orders", save(tmp_path, str(n), "orders", doc(1, 10 + n)))
+    for folder in ("raw/*/data", "meta/sync_state/data", "meta/run_log/data"):
+        assert all(len(list(d.iterdir())) <= lake.keep_versions for d in (tmp_path / "lake").glob(folder))
 
 
 def test_requests_counts_and_archive(lake, tmp_path):

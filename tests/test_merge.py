@@ -1,12 +1,16 @@
 """The keyed merge and the table it is stored in."""
 
+from functools import partial
+
 import pytest
 from conftest import at, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tradeloom.operators.merge import merge_into, merge_rows, recent_days, since_target
-from tradeloom.sources.tables import KeyedTable
+from tradeloom.session import in_parallel
+from tradeloom.sources import tables
+from tradeloom.sources.tables import ConcurrentWrite, KeyedTable
 
 S = "id bigint, v string"
 
@@ -93,3 +97,41 @@ def test_failed_merge_changes_nothing(spark, tmp_path):
     with pytest.raises(PySparkException):
         merge_into(table, t(spark, (1, "x"), (1, "y")))
     assert rows(table.read(), "*") == [(1, "a")]
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    def add(n):
+        table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+        table.apply(t(spark, (n, "x")), lambda old, new: old.unionByName(new))
+
+    in_parallel(spark, {str(n): partial(add, n) for n in range(4)}, 4)
+    assert rows(KeyedTable(spark, str(tmp_path / "t"), ["id"]).read(), "id") == [(n,) for n in range(4)]
+
+
+def test_claims_of_dead_writers_go_stale(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.replace(t(spark, (1, "a")))
+    assert table._claim(2, "dead")
+    monkeypatch.setattr(tables, "WAIT_SECONDS", 0)
+    with pytest.raises(ConcurrentWrite):
+        table.replace(t(spark, (2, "b")))
+    monkeypatch.setattr(tables, "WAIT_SECONDS", 10)
+    monkeypatch.setattr(tables, "STALE_SECONDS", -10)
+    table.replace(t(spark, (2, "b")))
+    assert rows(table.read(), "id") == [(2,)]
+
+
+def test_some_versions_can_be_kept(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    for n in range(5):
+        table.replace(t(spark, (n, "a")))
+    table.drop_superseded(keep=2)
+    assert sorted(p.name for p in (tmp_path / "t/data").iterdir()) == ["version=4", "version=5"]
+    assert rows(table.read(), "id") == [(4,)]
+
+
+def test_only_wanted_partitions_are_opened(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], "id div 10")
+    table.replace(t(spark, (1, "a"), (11, "b"), (21, "c")))
+    some = table.read(lambda part: part >= "1")
+    assert len({f.rsplit("/", 2)[1] for f in some.inputFiles()}) == 2 and rows(some, "id") == [(11,), (21,)]

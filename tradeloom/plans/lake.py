@@ -7,8 +7,10 @@ A lake is a folder: ``raw/<feed>`` tables, ``meta/sync_state`` and
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
-from datetime import datetime
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from dataclasses import dataclass
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +19,33 @@ from tradeloom.operators import quality, reconcile, runlog, state
 from tradeloom.operators.grid import id_batches, location_grid, nested_ids
 from tradeloom.operators.upsert import load_summary
 from tradeloom.plans.star import StarBuild, build
-from tradeloom.session import stored
+from tradeloom.session import folder_exists, stored
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
 from tradeloom.sources.raw import RAW_SCHEMA, SNAPSHOT_SCHEMA, location_rows, raw_rows, snapshot_rows
 from tradeloom.sources.tables import KeyedTable
-from tradeloom.streaming.landing import land_rows, stream_landing
+from tradeloom.streaming.landing import LOADS_SCHEMA, land_rows, stream_landing
 
 SNAPSHOT_FEED = "inventory_locations"
+#: The feed name of whole jobs in the run log, and the feeds a build can't do without.
+WHOLE_JOB = "all"
+CORE_FEEDS = ("orders", "customers", "products", "locations", "inventory_adjustments", "inventory_locations")
+
+
+@dataclass
+class Run:
+    """One logged run; the snapshot day is fixed when it starts, in UTC."""
+
+    id: str
+    day: date
+    rows: int = 0
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, id_bucket: int = 10_000_000):
-        """``id_bucket``: ids per partition of a raw table or fact."""
+    def __init__(self, spark: SparkSession, root: str, id_bucket: int = 10_000_000, keep_versions: int = 3):
+        """``id_bucket``: ids per partition of a raw table or fact; ``keep_versions``: versions of a table that readers may still use."""
         self.spark = spark
+        self.keep_versions = keep_versions
         self.root = root.rstrip("/")
         self.id_bucket = id_bucket
 
@@ -77,22 +92,19 @@ class Lake:
         the upsert finds them in place. A dry run writes rows but leaves the
         watermark alone.
         """
-        spec, run_id = domain(feed), str(uuid.uuid4())
-        self._start_run(run_id, feed, mode, triggered_by)
-        try:
-            shaped = self._shaped(spec, ingest(self.spark, pages, spec, whole_files), run_id)
+        spec = domain(feed)
+        with self._logged(feed, mode, triggered_by) as run:
+            shaped = self._shaped(spec, ingest(self.spark, pages, spec, whole_files), run)
             wanted = self._window(spec, shaped, mode, since, until)
             # Stored once: the upsert and the summary both read it, and the pages are parsed once.
             with stored(wanted, f"landing-{feed}") as rows:
                 land_rows(self.raw(feed), rows)
                 summary = load_summary(rows).first()
             if spec.incremental and not dry_run and summary["rows_total"]:
-                self._advance(feed, summary["max_updated_at"], run_id)
-        except Exception as error:
-            self._end_run(run_id, 0, "failed", str(error))
-            raise
-        self._end_run(run_id, summary["rows_total"], "success", None)
-        return summary["rows_total"]
+                self._advance(feed, summary["max_updated_at"], run.id)
+            run.rows = summary["rows_total"]
+        self.raw(feed).drop_superseded(self.keep_versions)
+        return run.rows
 
     def land_all(self, pages: Mapping[str, str], **options) -> dict[str, int]:
         """Land several feeds, dimension feeds first; the first error stops."""
@@ -106,31 +118,38 @@ class Lake:
         The stream's checkpoint lies in the lake. All documents of new files are
         landed, however late.
         """
-        spec, run_id = domain(feed), str(uuid.uuid4())
-        self._start_run(run_id, feed, "incremental", "stream")
-        try:
+        spec = domain(feed)
+        loads = f"{self.root}/meta/streams/{feed}-loads"
+        with self._logged(feed, "incremental", "stream") as run:
             job = stream_landing(
-                self.spark, pages, self.raw(feed), spec, f"{self.root}/meta/streams/{feed}", run_id,
-                shape=lambda items: self._shaped(spec, items, run_id),
-                files_per_batch=files_per_batch, whole_files=whole_files,
+                self.spark, pages, self.raw(feed), spec, f"{self.root}/meta/streams/{feed}", run.id,
+                shape=lambda items: self._shaped(spec, items, run),
+                files_per_batch=files_per_batch, whole_files=whole_files, loads=loads,
             )
             job.awaitTermination()
-            mine = self._rows(self.raw(feed), SNAPSHOT_SCHEMA if feed == SNAPSHOT_FEED else RAW_SCHEMA)
-            landed = load_summary(mine.filter(F.col("source_run_id") == run_id)).first()
-            if spec.incremental and landed["rows_total"]:
-                self._advance(feed, landed["max_updated_at"], run_id)
-        except Exception as error:
-            self._end_run(run_id, 0, "failed", str(error))
-            raise
-        self._end_run(run_id, landed["rows_total"], "success", None)
-
-    def _shaped(self, spec: Domain, items: DataFrame, run_id: str) -> DataFrame:
+            if not folder_exists(self.spark, loads):
+                return
+            # A run that died after its batches left summaries behind, which this run reports.
+            done = self.run_log().filter("status = 'success'").select("run_id")
+            mine = self.spark.read.schema(LOADS_SCHEMA).parquet(loads)
+            if folder_exists(self.spark, f"{loads}-reported"):
+                done = done.unionByName(self.spark.read.parquet(f"{loads}-reported"))
+            mine = mine.join(done, "run_id", "left_anti")
+            landed = mine.agg(F.sum("rows_total").alias("n"), F.max("max_updated_at").alias("newest")).first()
+            run.rows = landed["n"] or 0
+            if spec.incremental and run.rows:
+                self._advance(feed, landed["newest"], run.id)
+            others = mine.select("run_id").distinct().filter(F.col("run_id") != run.id)
+            others.coalesce(1).write.mode("append").parquet(f"{loads}-reported")
+        self.raw(feed).drop_superseded(self.keep_versions)
+
+    def _shaped(self, spec: Domain, items: DataFrame, run: Run) -> DataFrame:
         now = F.current_timestamp()
         if spec.name == "locations":
-            return location_rows(items, run_id, now)
+            return location_rows(items, run.id, now)
         if spec.name == SNAPSHOT_FEED:
-            return snapshot_rows(items, run_id, F.current_date(), now)
-        return raw_rows(items, run_id)
+            return snapshot_rows(items, run.id, F.lit(run.day), now)
+        return raw_rows(items, run.id)
 
     def _window(
         self, spec: Domain, rows: DataFrame, mode: str, since: datetime | None, until: datetime | None
@@ -142,21 +161,31 @@ class Lake:
 
     def _advance(self, feed: str, newest: datetime, run_id: str) -> None:
         loads = self.spark.createDataFrame([(feed, newest, run_id)], "domain string, max_updated_at timestamp, run_id string")
-        moved = state.advance_watermarks(self.sync_state(), loads, F.current_timestamp())
-        self._meta("sync_state", "domain").replace(moved)
-
-    def _start_run(self, run_id: str, feed: str, mode: str, triggered_by: str) -> None:
+        table = self._meta("sync_state", "domain")
+        table.apply(loads, lambda old, new: state.advance_watermarks(old, new, F.current_timestamp()), state.STATE_SCHEMA)
+        table.drop_superseded(self.keep_versions)
+
+    @contextmanager
+    def _logged(self, feed: str, mode: str, triggered_by: str) -> Iterator[Run]:
+        """A run with its start and its end in the log. Each is one keyed change, so runs side by side lose no rows."""
+        run, log = Run(str(uuid.uuid4()), datetime.now(UTC).date()), self._meta("run_log", "run_id")
         start = self.spark.createDataFrame(
-            [(run_id, feed, mode, triggered_by)], "run_id string, domain string, mode string, triggered_by string"
+            [(run.id, feed, mode, triggered_by)], "run_id string, domain string, mode string, triggered_by string"
         )
-        log = self.run_log().unionByName(runlog.start_runs(start, F.current_timestamp()))
-        self._meta("run_log", "run_id").replace(log)
+        log.apply(runlog.start_runs(start, F.current_timestamp()), lambda old, new: old.unionByName(new))
+        try:
+            yield run
+        except Exception as error:
+            self._end_run(log, run.id, 0, "failed", str(error))
+            raise
+        self._end_run(log, run.id, run.rows, "success", None)
 
-    def _end_run(self, run_id: str, rows: int, outcome: str, error: str | None) -> None:
+    def _end_run(self, log: KeyedTable, run_id: str, rows: int, outcome: str, error: str | None) -> None:
         end = self.spark.createDataFrame(
             [(run_id, rows, outcome, error)], "run_id string, rows bigint, outcome string, error string"
         )
-        self._meta("run_log", "run_id").replace(runlog.close_runs(self.run_log(), end, F.current_timestamp()))
+        log.apply(end, lambda old, new: runlog.close_runs(old, new, F.current_timestamp()))
+        log.drop_superseded(self.keep_versions)
 
     # -- looking after it ---------------------------------------------------
 
@@ -174,21 +203,20 @@ class Lake:
         source = self.spark.createDataFrame(
             [(domain(feed).name, n) for feed, n in source_counts.items()], "domain string, source_count bigint"
         )
-        tables = {feed: self.raw(feed).read() for feed in source_counts}
-        landed = reconcile.table_counts({f: t for f, t in tables.items() if t is not None}, "landed_count")
+        nothing = self.spark.createDataFrame([], RAW_SCHEMA)
+        tables = {domain(feed).name: self.raw(feed).read() for feed in source_counts}
+        landed = reconcile.table_counts({f: nothing if t is None else t for f, t in tables.items()}, "landed_count")
         return reconcile.count_drift(source, landed, tolerance)
 
     def freshness(self, as_of: Column) -> DataFrame:
-        """Age of the newest row of every landed feed against its limits."""
-        ages = None
+        """Age of the newest row of every feed against its limits; a feed that was never landed is an error."""
+        never = self.spark.createDataFrame([(feed, None) for feed in DOMAINS], "source string, ingested_at timestamp")
+        ages = never
         for feed in DOMAINS:
             rows = self.raw(feed).read()
-            if rows is None:
-                continue
-            one = rows.agg(F.max("ingested_at").alias("ingested_at")).select(F.lit(feed).alias("source"), "ingested_at")
-            ages = one if ages is None else ages.unionByName(one)
-        if ages is None:
-            raise ValueError("nothing has been landed")
+            if rows is not None:
+                one = rows.agg(F.max("ingested_at").alias("ingested_at"))
+                ages = ages.unionByName(one.select(F.lit(feed).alias("source"), "ingested_at"))
         return quality.freshness(ages, as_of)
 
     def inventory_requests(self) -> DataFrame:
@@ -203,4 +231,23 @@ class Lake:
         """Build or update the star schema from the raw tables."""
         feeds = {feed: self.raw(feed).read() for feed in DOMAINS}
         landed = {feed: rows for feed, rows in feeds.items() if rows is not None}
-        return build(self.spark, landed, f"{self.root}/star", bounds, as_of, holidays, id_bucket=self.id_bucket, **options)
+        if missing := [feed for feed in CORE_FEEDS if feed not in landed]:
+            raise ValueError(f"feeds not landed yet: {missing}")
+        star = build(self.spark, landed, f"{self.root}/star", bounds, as_of, holidays, id_bucket=self.id_bucket, **options)
+        star.drop_superseded(self.keep_versions)
+        return star
+
+    def run_all(
+        self, pages: Mapping[str, str], bounds: DataFrame, as_of: Column, holidays: DataFrame,
+        mode: str = "incremental", triggered_by: str = "cron", **options,
+    ) -> StarBuild:
+        """The daily job: land the feeds in order, build, test; one outcome row in the run log.
+
+        Fails as a whole: a feed that can't be landed, a build error and a failed
+        test of severity ``error`` all end the run as failed and are raised.
+        """
+        with self._logged(WHOLE_JOB, mode, triggered_by) as run:
+            run.rows = sum(self.land_all(pages, mode=mode, triggered_by=triggered_by).values())
+            star = self.build_star(bounds, as_of, holidays, **options)
+            quality.require_passed(star.check())
+        return star

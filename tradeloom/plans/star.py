@@ -197,6 +197,11 @@ class StarBuild:
             self.spark, {name: partial(write, name, rows) for name, (rows, write) in writes.items()}, self.threads
         )
 
+    def drop_superseded(self, keep: int) -> None:
+        """Free what the last ``keep`` versions of the stored tables don't show."""
+        for name in self.tables:
+            KeyedTable(self.spark, f"{self.out_dir}/{name}", []).drop_superseded(keep)
+
     def check(self) -> DataFrame:
         """Results of all tests on the raw tables and on what was built."""
         checked = {**{f"raw_{n}": df for n, df in self.raw.items()}, **self.tables, "holidays": self.holidays}

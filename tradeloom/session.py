@@ -81,6 +81,11 @@ def stored(df: DataFrame, name: str) -> Iterator[DataFrame]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def in_parallel(spark: SparkSession, jobs: Mapping[str, Callable[[], _T]], threads: int) -> dict[str, _T]:
     """Submit independent Spark jobs side by side; the first error is raised."""
     with ThreadPoolExecutor(threads) as pool:
