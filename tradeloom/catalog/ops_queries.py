@@ -123,10 +123,12 @@ def _(spark, sf):
 @query(
     "dq_null_fraction",
     sql("""SELECT CAST(count_if(customer_id IS NULL) AS BIGINT) AS nulls, count(*) AS total,
-count_if(customer_id IS NULL) / nullif(count(*), 0) AS null_fraction FROM staged_orders"""),
+count_if(customer_id IS NULL) / nullif(count(*), 0) AS null_fraction,
+coalesce(count_if(customer_id IS NULL) / nullif(count(*), 0) > 0.95, false) AS exceeded FROM staged_orders"""),
 )
 def _(spark, sf):
-    return quality.null_fraction(staged_orders(spark, sf, "customer_id"), "customer_id")
+    found = quality.null_fraction(staged_orders(spark, sf, "customer_id"), "customer_id")
+    return found.withColumn("exceeded", F.coalesce(F.col("null_fraction") > quality.NULL_CUSTOMER_LIMIT, F.lit(False)))
 
 
 @query(
@@ -199,6 +201,8 @@ def _rule_sql(rule: Rule) -> str:
         parent, field = rule.arg
         failures = f"""SELECT count(*) FROM {rows} WHERE {c} IS NOT NULL
 AND {c} NOT IN (SELECT {field} FROM {SQL_TABLES[parent]})"""
+    elif rule.test == "null_fraction":
+        failures = f"SELECT CAST(coalesce(count_if({c} IS NULL) / nullif(count(*), 0) > {rule.arg}, false) AS BIGINT) FROM {rows}"
     else:
         broken = {
             "not_null": f"{c} IS NULL",

@@ -1,9 +1,8 @@
 """Declarative data tests.
 
 A test is a query for failing rows; no rows means it passed. ``failing_rows``
-gives those rows for one test. ``run_suite`` counts them for many: the row-level
-tests of a table share one pass over it, uniqueness and reference tests reduce
-each key to one row per task before the shuffle.
+gives those rows for one test. ``run_suite`` counts them for all in one query: one
+pass over each table, each key reduced to one row per task before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,11 +12,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tradeloom.session import in_parallel
-
 ROW_TESTS = ("not_null", "accepted_values", "expression", "predicate")
 
 RESULT_SCHEMA = (
@@ -56,6 +53,7 @@ def refers(table: str, **targets: tuple[str, str]) -> list[Rule]:
 # The tests of the shipped model, the accepted transaction kinds,
 # and the freshness limits in hours.
 
+NULL_CUSTOMER_LIMIT = 0.95
 TRANSACTION_KINDS = ("sale", "refund", "authorization", "capture", "void", "change", "pending")
 
 RAW_RULES = [
@@ -76,6 +74,7 @@ RAW_RULES = [
 STAGING_RULES = [
     *key("stg_orders", "order_id"),
     Rule("stg_orders", "total_price_vnd", "expression", ">= 0"),
+    Rule("stg_orders", "customer_id", "null_fraction", NULL_CUSTOMER_LIMIT),
     *key("stg_order_refunds", "refund_id"),
     *not_null("stg_order_refunds", "order_id"),
     Rule("stg_order_refunds", "refund_amount_vnd", "expression", ">= 0"),
@@ -153,7 +152,6 @@ SEED_RULES = [*key("holidays", "date"), *not_null("holidays", "holiday_name", "i
 
 RULES = [*RAW_RULES, *STAGING_RULES, *MART_RULES, *SEED_RULES]
 
-NULL_CUSTOMER_LIMIT = 0.95
 
 DEFAULT_FRESHNESS = (24, 48)
 FRESHNESS: dict[str, tuple[int, int] | None] = {
@@ -211,71 +209,88 @@ def failing_rows(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | No
     return df.filter(_breaks(rule))
 
 
-def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule], threads: int = 4) -> DataFrame:
+def run_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """``(table_name, column_name, test, severity, failures, status)`` per rule.
 
-    Rules on tables that are not given are left out. Each table is one Spark
-    query, and several run at a time: one plan over all tables would be
-    re-optimised as a whole after each of its many stages. Only the counts, one
-    row per rule, come back to the driver.
+    All rules are one query. Every table is read once and each row yields what its
+    rules need: the keys of unique and reference tests, as child or as parent, and
+    the row tests it fails. Two grouped counts follow, by rule and key and by
+    rule; only the counts, one row per rule, come back to the driver. A rule whose
+    table, or the table it refers to, is not given is ``skipped``.
     """
-    grouped: dict[str, list[Rule]] = defaultdict(list)
-    for rule in rules:
-        refers_to = rule.arg[0] if rule.test == "relationships" else rule.table  # type: ignore[index]
-        if rule.table in tables and refers_to in tables:
-            grouped[rule.table].append(rule)
-    if not grouped:
+    able = [r for r in rules if r.table in tables and (r.test != "relationships" or r.arg[0] in tables)]  # type: ignore[index]
+    if not able:
         raise ValueError("no rule applies to the given tables")
-    spark = next(iter(tables.values())).sparkSession
-    counted = in_parallel(
-        spark, {t: table_results(tables, rs).collect for t, rs in grouped.items()}, threads
-    )
-    return spark.createDataFrame([row for rows in counted.values() for row in rows], RESULT_SCHEMA)
-
-
-def table_results(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Results of the rules of one table."""
-    row_rules = [r for r in rules if r.test in ROW_TESTS]
-    parts = [_row_tests(tables[row_rules[0].table], row_rules)] if row_rules else []
-    for rule in rules:
-        if rule.test in ROW_TESTS:
-            continue
-        found = failing_rows(tables[rule.table], rule, tables)
-        if rule.test == "unique":
-            failures = found.agg(F.count("*").alias("failures"))
-        else:
-            failures = found.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
-        parts.append(_labelled(failures, rule))
-    failed = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-    status = F.when(F.col("failures") == 0, "pass").otherwise(failed)
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
-
-
-def _labelled(counts: DataFrame, rule: Rule) -> DataFrame:
-    return counts.select(*_labels(rule), F.col("failures").cast("bigint").alias("failures"))
-
-
-def _labels(rule: Rule) -> list[Column]:
-    return [
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.test).alias("test"),
-        F.lit(rule.severity).alias("severity"),
+    number = {r: i for i, r in enumerate(able)}
+    entries: dict[str, list[Column]] = defaultdict(list)
+    for rule, i in number.items():
+        entries[rule.table].append(_entry(i, rule))
+        if rule.test == "relationships":
+            parent, field = rule.arg  # type: ignore[misc]
+            entries[parent].append(_keyed(i, F.col(field), 0, known=True))
+    seen = [
+        tables[t].select(F.explode(F.filter(F.array(*e), lambda x: x.isNotNull())).alias("e")).select("e.*")
+        for t, e in entries.items()
     ]
+    by_key = reduce(DataFrame.unionByName, seen).groupBy("rule", "key").agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    by_rule = by_key.groupBy("rule").agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+        F.sum(F.when(~F.col("known"), F.col("n"))).alias("lost"),
+        F.sum(F.when(F.col("key") == "null", F.col("n"))).alias("nulls"),
+    )
+    counts = {r["rule"]: r for r in by_rule.collect()}
+    results = [_result(rule, counts.get(number[rule])) if rule in number else (*_names(rule), None, "skipped") for rule in rules]
+    return next(iter(tables.values())).sparkSession.createDataFrame(results, RESULT_SCHEMA)
+
+
+def _keyed(i: int, c: Column, n: int, known: bool = False) -> Column:
+    """One key that a row has for rule ``i``; none if it is NULL."""
+    key = c.cast("string")
+    entry = F.struct(F.lit(i).alias("rule"), key.alias("key"), F.lit(n).cast("bigint").alias("n"), F.lit(known).alias("known"))
+    return F.when(key.isNotNull(), entry)
 
 
-def _row_tests(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    counts = df.agg(*[F.count_if(_breaks(r)).alias(f"n{i}") for i, r in enumerate(rules)])
-    outcomes = F.array(*[F.struct(*_labels(r), F.col(f"n{i}").alias("failures")) for i, r in enumerate(rules)])
-    return counts.select(F.inline(outcomes))
+def _entry(i: int, rule: Rule) -> Column:
+    """What a row of the rule's table yields for it."""
+    if rule.test in ("unique", "relationships"):
+        return _keyed(i, F.col(rule.column), 1)
+    if rule.test == "null_fraction":
+        return _keyed(i, F.when(F.col(rule.column).isNull(), "null").otherwise("value"), 1)
+    return _keyed(i, F.when(_breaks(rule), ""), 1)
 
 
-def require_passed(results: DataFrame) -> None:
-    """Raise if a test of severity ``error`` failed; warnings pass."""
+def _names(rule: Rule) -> tuple[str, str, str, str]:
+    return rule.table, rule.column, rule.test, rule.severity
+
+
+def _result(rule: Rule, counts: Row | None) -> tuple:
+    if counts is None:
+        failures = 0
+    elif rule.test == "unique":
+        failures = counts["repeated"]
+    elif rule.test == "relationships":
+        failures = counts["lost"] or 0
+    elif rule.test == "null_fraction":
+        failures = int((counts["nulls"] or 0) / counts["rows"] > rule.arg)
+    else:
+        failures = counts["rows"]
+    status = "pass" if not failures else "warn" if rule.severity == "warn" else "fail"
+    return *_names(rule), failures, status
+
+
+def require_passed(results: DataFrame, optional: Sequence[str] = ()) -> None:
+    """Raise if a test of severity ``error`` failed or was skipped; warnings pass.
+
+    ``optional`` names tables whose skipped tests are not missed.
+    """
     failed = results.filter("status = 'fail'").collect()
+    skipped = results.filter((F.col("status") == "skipped") & (F.col("severity") == "error") & ~F.col("table_name").isin(*optional)).collect()
     if failed:
         names = ", ".join(f"{r.table_name}.{r.column_name} {r.test} ({r.failures})" for r in failed)
         raise ValueError(f"{len(failed)} data tests failed: {names}")
+    if skipped:
+        raise ValueError(f"{len(skipped)} data tests could not run, tables missing: {sorted({r.table_name for r in skipped})}")
 
 
 def null_fraction(df: DataFrame, column: str) -> DataFrame:
@@ -321,7 +336,7 @@ def _limit(i: int) -> Column:
 def tally(results: DataFrame) -> DataFrame:
     """``results(kind, status)`` of models and tests as one row of counts.
 
-    Warnings and errors count in the total only; ``build_ok`` is false if a test failed.
+    Warnings and errors count in the total only; ``build_ok`` is false if a test failed or was skipped.
     """
     model, test = F.col("kind") == "model", F.col("kind") == "test"
     return results.agg(
@@ -329,4 +344,5 @@ def tally(results: DataFrame) -> DataFrame:
         F.count_if(test).alias("tests_total"),
         F.count_if(test & (F.col("status") == "pass")).alias("tests_passed"),
         F.count_if(test & (F.col("status") == "fail")).alias("tests_failed"),
-    ).withColumn("build_ok", F.col("tests_failed") == 0)
+        F.count_if(test & (F.col("status") == "skipped")).alias("skipped"),
+    ).withColumn("build_ok", (F.col("tests_failed") == 0) & (F.col("skipped") == 0)).drop("skipped")
