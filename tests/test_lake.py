@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tradeloom.plans.lake import Lake
 from tradeloom.session import in_parallel
+from tradeloom.sources.domains import domain
+from tradeloom.sources.tables import KeyedTable
 
 
 @pytest.fixture
@@ -133,3 +135,49 @@ def test_requests_counts_and_archive(lake, tmp_path):
     assert rows(lake.validate({"products": 1, "locations": 3}), "domain", "ok") == [("locations", False), ("products", True)]
     lake.archive_runs(F.lit("2999-01-01").cast("timestamp"))
     assert lake.run_log().count() == 0 and lake.run_log_archive().count() == 2
+
+
+def daily(spark, tmp_path, name, *orders):
+    from test_star import iso, order
+
+    def simple(**kw):
+        return {"created_at": iso(0), "updated_at": iso(0), **kw}
+
+    items = {
+        "orders": [order(*o) if isinstance(o, tuple) else o for o in orders],
+        "customers": [simple(id=i, orders_count=1) for i in (3, 6, 7, 9)],
+        "products": [simple(id=1, title="One", variants=[{"id": 10, "price": "5"}])],
+        "locations": [simple(id=1, active=True)],
+        "inventory_adjustments": [simple(id=1, location_id=1, line_items=[{"id": 1, "product_variant_id": 99, "product_id": 9, "quantity": "1"}])],
+        "inventory_locations": [{"loc_id": 1, "variant_id": 10, "on_hand": 3, "available": 3}],
+    }
+    (tmp_path / name).mkdir()
+    keys = {f: domain(f).envelope for f in items}
+    return {f: save(tmp_path / name, f, keys[f], *docs) for f, docs in items.items()}
+
+
+OPTIONAL = [f"{layer}_{feed}" for layer in ("raw", "stg") for feed in ("custom_collections", "smart_collections", "discounts", "promotions")]
+
+
+def test_the_daily_job_lands_builds_tests_and_then_publishes(lake, spark, tmp_path):
+    from test_star import order
+
+    bounds = spark.sql("SELECT DATE'2026-01-01' AS start, DATE'2030-03-01' AS as_of")
+    holidays = spark.sql("SELECT DATE'2026-01-01' AS date, 'New Year' AS holiday_name, true AS is_public_holiday")
+    as_of = F.lit("2026-03-01").cast("timestamp")
+
+    def facts():
+        return KeyedTable(spark, f"{lake.root}/star/fct_orders", []).read()
+
+    lake.run_all(daily(spark, tmp_path, "good", (3, 1), (6, 2)), bounds, as_of, holidays, optional=OPTIONAL)
+    assert facts().count() == 2
+    bad = {**order(9, 3), "total_price": "-5.00"}
+    with pytest.raises(ValueError, match="stg_orders.total_price_vnd"):
+        lake.run_all(daily(spark, tmp_path, "bad", bad), bounds, as_of, holidays, optional=OPTIONAL)
+    assert facts().count() == 2
+    assert not list((tmp_path / "lake" / "star").glob("*/claims/version*"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        lake.run_all({"orders": save(tmp_path, "broken", "orders", {"id": 1})}, bounds, as_of, holidays)
+    assert facts().count() == 2
+    log = [(r.status, bool(r.error_message)) for r in lake.run_log().filter("domain = 'all'").orderBy("started_at").collect()]
+    assert log == [("success", False), ("failed", True), ("failed", True)]

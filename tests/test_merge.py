@@ -135,3 +135,19 @@ def test_only_wanted_partitions_are_opened(spark, tmp_path):
     table.replace(t(spark, (1, "a"), (11, "b"), (21, "c")))
     some = table.read(lambda part: part >= "1")
     assert len({f.rsplit("/", 2)[1] for f in some.inputFiles()}) == 2 and rows(some, "id") == [(11,), (21,)]
+
+
+def test_held_versions_are_seen_when_published(spark, tmp_path, monkeypatch):
+    seen, held = KeyedTable(spark, str(tmp_path / "t"), ["id"]), KeyedTable(spark, str(tmp_path / "t"), ["id"], held=True)
+    seen.replace(t(spark, (1, "a")))
+    held.replace(t(spark, (2, "b")))
+    assert rows(seen.read(), "id") == [(1,)] and rows(held.read_held(), "id") == [(2,)]
+    monkeypatch.setattr(tables, "WAIT_SECONDS", 0)
+    with pytest.raises(ConcurrentWrite):
+        seen.replace(t(spark, (3, "c")))
+    held.publish()
+    assert rows(seen.read(), "id") == [(2,)]
+    held.replace(t(spark, (4, "d")))
+    held.discard()
+    seen.replace(t(spark, (5, "e")))
+    assert rows(seen.read(), "id") == [(5,)]

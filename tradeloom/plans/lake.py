@@ -7,7 +7,7 @@ A lake is a folder: ``raw/<feed>`` tables, ``meta/sync_state`` and
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
@@ -239,15 +239,23 @@ class Lake:
 
     def run_all(
         self, pages: Mapping[str, str], bounds: DataFrame, as_of: Column, holidays: DataFrame,
-        mode: str = "incremental", triggered_by: str = "cron", **options,
+        mode: str = "incremental", triggered_by: str = "cron", optional: Sequence[str] = (), **options,
     ) -> StarBuild:
-        """The daily job: land the feeds in order, build, test; one outcome row in the run log.
+        """The daily job: land the feeds in order, build, test, publish; one outcome row in the run log.
 
         Fails as a whole: a feed that can't be landed, a build error and a failed
-        test of severity ``error`` all end the run as failed and are raised.
+        test of severity ``error`` all end the run as failed and are raised. What
+        was built is published only after its tests, so a bad batch stays out of
+        sight. ``optional`` names raw and staging tables of feeds the shop lacks.
         """
         with self._logged(WHOLE_JOB, mode, triggered_by) as run:
             run.rows = sum(self.land_all(pages, mode=mode, triggered_by=triggered_by).values())
-            star = self.build_star(bounds, as_of, holidays, **options)
-            quality.require_passed(star.check())
+            star = self.build_star(bounds, as_of, holidays, held=True, **options)
+            try:
+                quality.require_passed(star.check(), optional)
+            except BaseException:
+                star.discard()
+                raise
+            star.publish()
+            star.drop_superseded(self.keep_versions)
         return star

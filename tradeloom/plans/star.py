@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -66,6 +66,8 @@ class StarBuild:
     """One build into ``out_dir``; running it again merges into what is there.
 
     ``full_refresh`` starts over: all documents are parsed, all facts rebuilt.
+    ``held`` keeps what is built out of sight until :meth:`publish`, so that it can
+    be tested first; :meth:`discard` leaves the tables as they were.
     """
 
     spark: SparkSession
@@ -77,7 +79,9 @@ class StarBuild:
     id_bucket: int = 10_000_000
     threads: int = 4
     full_refresh: bool = False
+    held: bool = False
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    _stored: dict[str, KeyedTable] = field(default_factory=dict)
 
     def run(self) -> None:
         """Stage, then dimensions and facts, which need only staging tables."""
@@ -134,7 +138,7 @@ class StarBuild:
         older than the newest one parsed. Documents are replaced whole. The raw
         table is partitioned by the same ids, so a first build needs no shuffle.
         """
-        table = KeyedTable(self.spark, f"{self.out_dir}/{name}", ["order_id"], f"order_id div {self.id_bucket}")
+        table = self._table(name, ["order_id"], f"order_id div {self.id_bucket}")
         known = None if self.full_refresh else table.read()
         if known is not None:
             rows = rows.filter(F.col("ingested_at") >= known.agg(F.max("ingested_at").alias("newest")).scalar())
@@ -143,7 +147,7 @@ class StarBuild:
             table.replace(parsed, spread=False)
         else:
             table.apply(parsed, lambda old, new: overlay(old, new, table.keys))
-        return table.read()
+        return table.read_held()
 
     def _dimensions(self) -> dict[str, DataFrame]:
         t = self.tables
@@ -176,20 +180,33 @@ class StarBuild:
 
     def _kept(self, name: str, rows: DataFrame) -> DataFrame:
         """Rebuild a table."""
-        table = KeyedTable(self.spark, f"{self.out_dir}/{name}", [])
+        table = self._table(name, [])
         table.replace(rows)
-        return table.read()
+        return table.read_held()
 
     def _merge_fact(self, name: str, rows: DataFrame) -> DataFrame:
         spec = fact_specs(self.id_bucket)[name]
-        table = KeyedTable(self.spark, f"{self.out_dir}/{name}", spec.keys, spec.partition)
+        table = self._table(name, spec.keys, spec.partition)
         current = None if self.full_refresh else table.read()
         if current is None:
             table.replace(rows, spread=not spec.like_orders)
         else:
             rows = incremental_rows(name, rows, current, spec, self.as_of)
             merge_into(table, rows, spec.append_new_columns)
-        return table.read()
+        return table.read_held()
+
+    def _table(self, name: str, keys: Sequence[str], partition: str | None = None) -> KeyedTable:
+        table = self._stored[name] = KeyedTable(self.spark, f"{self.out_dir}/{name}", keys, partition, self.held)
+        return table
+
+    def publish(self) -> None:
+        """Make a held build visible, dimensions before the facts that refer to them."""
+        for name in sorted(self._stored):
+            self._stored[name].publish()
+
+    def discard(self) -> None:
+        for table in self._stored.values():
+            table.discard()
 
     def _each(self, writes: Writes) -> dict[str, DataFrame]:
         """Independent tables are submitted side by side; the first error stops the build."""
@@ -199,8 +216,8 @@ class StarBuild:
 
     def drop_superseded(self, keep: int) -> None:
         """Free what the last ``keep`` versions of the stored tables don't show."""
-        for name in self.tables:
-            KeyedTable(self.spark, f"{self.out_dir}/{name}", []).drop_superseded(keep)
+        for table in self._stored.values():
+            table.drop_superseded(keep)
 
     def check(self) -> DataFrame:
         """Results of all tests on the raw tables and on what was built."""
@@ -225,7 +242,11 @@ def build(
 ) -> StarBuild:
     """Build or update the star schema below ``out_dir``."""
     star = StarBuild(spark, raw, out_dir, bounds, as_of, holidays, **options)
-    star.run()
+    try:
+        star.run()
+    except BaseException:
+        star.discard()
+        raise
     return star
 
 
