@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+# Fixed value: what a NULL part of a surrogate key counts as.
 NULL_PART = "_dbt_utils_surrogate_key_null_"
 
 

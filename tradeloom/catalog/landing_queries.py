@@ -340,7 +340,7 @@ def _(spark, sf):
     store = KeyedTable(spark, scratch(spark, "raw-customers"), ["id"], "id div 100000000")
     for attempt in ("first", "replayed"):
         job = stream_landing(
-            spark, pages, store, domain("customers"), scratch(spark, f"stream-{attempt}"), RUN_ID, as_of(), files_per_batch=8
+            spark, pages, store, domain("customers"), scratch(spark, f"stream-{attempt}"), RUN_ID, as_of()
         )
         job.awaitTermination()
     landed = store.read()
@@ -357,6 +357,6 @@ def _(spark, sf):
     for _ in range(2):
         events.write.mode("append").parquet(source)
     store = KeyedTable(spark, scratch(spark, "appended"), ["id"], "id div 100000000")
-    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = spark.readStream.schema(events.schema).parquet(source)
     stream_append(rows, store, scratch(spark, "stream-append")).awaitTermination()
     return store.read()

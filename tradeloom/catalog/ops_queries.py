@@ -106,7 +106,7 @@ def _(spark, sf):
 
 @query(
     "dq_accepted_values",
-    sql("SELECT transaction_id, kind FROM transactions WHERE kind NOT IN ('sale', 'refund', 'authorization', 'capture', 'void', 'change', 'pending')"),
+    sql(f"SELECT transaction_id, kind FROM transactions WHERE kind NOT IN {quality.TRANSACTION_KINDS}"),
 )
 def _(spark, sf):
     rule = Rule("stg_order_transactions", "kind", "accepted_values", quality.TRANSACTION_KINDS, "warn")

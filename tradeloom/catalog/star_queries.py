@@ -21,7 +21,7 @@ from tradeloom.operators import facts
 from tradeloom.operators import intermediate as im
 from tradeloom.operators import staging as st
 from tradeloom.operators.merge import merge_rows, recent_days, since_target
-from tradeloom.plans.star import build, fact_specs
+from tradeloom.plans.star import StarBuild, build, fact_specs
 from tradeloom.session import scratch, written
 from tradeloom.sources.seeds import read_holidays
 
@@ -312,8 +312,18 @@ def _(spark, sf):
     return out
 
 
-def built(spark: SparkSession, sf: str):
-    """A complete build from all feeds of ``sf``."""
+_built: dict[tuple[str, str], StarBuild] = {}
+
+
+def built(spark: SparkSession, sf: str) -> StarBuild:
+    """A complete build from all feeds of ``sf``; one per session, as a user has one."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _built:
+        _built[key] = _build(spark, sf)
+    return _built[key]
+
+
+def _build(spark: SparkSession, sf: str) -> StarBuild:
     feeds = {name: raw(spark, sf, name) for name in ITEMS}
     return build(
         spark, feeds, scratch(spark, "star"), order_bounds(spark, sf), as_of(), read_holidays(spark), id_bucket=2**58

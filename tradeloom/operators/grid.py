@@ -46,7 +46,7 @@ def id_batches(ids: DataFrame, id: str, size: int = BATCH_SIZE) -> DataFrame:
 
 
 def location_grid(
-    locations: DataFrame, variants: DataFrame, location_slices: int = 4, variant_slices: int = 64
+    locations: DataFrame, variants: DataFrame, location_slices: int = 4, variant_slices: int | None = None
 ) -> DataFrame:
     """Every location with every variant; empty if either side is.
 
@@ -54,8 +54,10 @@ def location_grid(
     location is copied along one row of a grid of cells, each variant along one
     column, and the two are equi-joined on the cell. A task thus pairs a slice
     of the locations with a slice of the variants. Shops have far fewer
-    locations than variants, so variants get many slices and few copies.
+    locations than variants, so variants get many slices and few copies: as many
+    slices as a shuffle has partitions, so that all tasks have cells.
     """
+    variant_slices = variant_slices or max(64, int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def slice_of(df: DataFrame, n: int) -> Column:
         return F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.values import days_before
 
+#: State of this many feeds at most is broadcast.
+FEEDS_AT_MOST = 1000
+
 # How far below the watermark an incremental read starts, the
 # shop's time zone, and the columns of the state table.
 READ_BUFFER_DAYS = 7
@@ -55,9 +58,19 @@ def read_window(
     return df
 
 
+def _per_feed(marks: DataFrame) -> DataFrame:
+    """Marks to be joined to rows: broadcast if there are as few as there are feeds.
+
+    Spark takes a table that was aggregated from a large source for a large one, and
+    would send all rows to as many tasks as there are feeds.
+    """
+    few = marks.limit(FEEDS_AT_MOST + 1).count() <= FEEDS_AT_MOST
+    return F.broadcast(marks) if few else marks
+
+
 def read_window_by_state(df: DataFrame, state: DataFrame, column: str = "updated_at") -> DataFrame:
     """Incremental window of several feeds at once, each from its own watermark."""
-    marks = state.select("domain", F.col("last_updated_at").alias("_mark"))
+    marks = _per_feed(state.select("domain", F.col("last_updated_at").alias("_mark")))
     joined = df.join(marks, "domain", "left")
     return read_window(joined, watermark=F.col("_mark"), column=column).drop("_mark")
 
@@ -96,7 +109,7 @@ def advance_high_ids(state: DataFrame, loads: DataFrame, now: Column) -> DataFra
 
 def above_high_id(df: DataFrame, state: DataFrame, id: str = "id") -> DataFrame:
     """Rows of append-only feeds that are above the feed's high id."""
-    marks = state.select("domain", F.coalesce("last_high_id", F.lit(0)).alias("_high"))
+    marks = _per_feed(state.select("domain", F.coalesce("last_high_id", F.lit(0)).alias("_high")))
     joined = df.join(marks, "domain", "left")
     return joined.filter(F.col(id) > F.coalesce("_high", F.lit(0))).drop("_high")
 

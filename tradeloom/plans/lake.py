@@ -15,10 +15,11 @@ from datetime import UTC, date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.functions.values import days_before
 from tradeloom.operators import quality, reconcile, runlog, state
 from tradeloom.operators.grid import id_batches, location_grid, nested_ids
 from tradeloom.operators.upsert import load_summary
-from tradeloom.plans.star import StarBuild, build
+from tradeloom.plans.star import SNAPSHOT_LOOKBACK_DAYS, StarBuild, build
 from tradeloom.session import folder_exists, stored
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
@@ -233,10 +234,18 @@ class Lake:
         landed = {feed: rows for feed, rows in feeds.items() if rows is not None}
         if missing := [feed for feed in CORE_FEEDS if feed not in landed]:
             raise ValueError(f"feeds not landed yet: {missing}")
-        star = build(self.spark, landed, f"{self.root}/star", bounds, as_of, holidays, id_bucket=self.id_bucket, **options)
+        root = f"{self.root}/star"
+        if not options.get("full_refresh") and folder_exists(self.spark, f"{root}/fct_inventory_snapshot/manifests"):
+            options["recent_levels"] = self._recent_levels(as_of)
+        star = build(self.spark, landed, root, bounds, as_of, holidays, id_bucket=self.id_bucket, **options)
         star.drop_superseded(self.keep_versions)
         return star
 
+    def _recent_levels(self, as_of: Column) -> DataFrame:
+        """Stock levels of the days that a merge takes; older days' folders are not opened."""
+        day = self.spark.range(1).select(days_before(as_of, SNAPSHOT_LOOKBACK_DAYS).cast("date").cast("string")).first()[0]
+        return self.raw(SNAPSHOT_FEED).read(lambda part: part >= day)
+
     def run_all(
         self, pages: Mapping[str, str], bounds: DataFrame, as_of: Column, holidays: DataFrame,
         mode: str = "incremental", triggered_by: str = "cron", optional: Sequence[str] = (), **options,

@@ -80,6 +80,8 @@ class StarBuild:
     threads: int = 4
     full_refresh: bool = False
     held: bool = False
+    #: Stock levels of the days a later run takes; all of them if not given.
+    recent_levels: DataFrame | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     _stored: dict[str, KeyedTable] = field(default_factory=dict)
 
@@ -175,7 +177,9 @@ class StarBuild:
             "fct_order_lines": facts.fct_order_lines(intermediate.order_lines(t["stg_orders"])),
             "fct_refunds": facts.fct_refunds(t["stg_order_refunds"]),
             "fct_inventory_adjustments": facts.fct_inventory_adjustments(t["stg_inventory_adjustments"]),
-            "fct_inventory_snapshot": facts.fct_inventory_snapshot(t["stg_inventory_locations"]),
+            "fct_inventory_snapshot": facts.fct_inventory_snapshot(
+                t["stg_inventory_locations"] if self.recent_levels is None else staging.inventory_levels(self.recent_levels)
+            ),
         }
 
     def _kept(self, name: str, rows: DataFrame) -> DataFrame:

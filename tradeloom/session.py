@@ -35,7 +35,7 @@ def local_session(name: str = "tradeloom", cores: str = "*") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
+    """Folder every executor can reach, below ``spark.checkpoint.dir``; freed when the application ends.
 
     Only a local master may fall back to a temporary folder, because there the
     driver and the executors are one machine.
@@ -43,7 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if base:
-        return f"{base.rstrip('/')}/tradeloom/{app}"
+        path = f"{base.rstrip('/')}/tradeloom/{app}"
+        if app not in _local_dirs:
+            _local_dirs[app] = path
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            # Only an existing folder can be marked; it is freed when the application ends.
+            files.mkdirs(folder)
+            files.deleteOnExit(folder)
+        return path
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
     if app not in _local_dirs:
