@@ -59,4 +59,5 @@ def dedup(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFra
     drops = written(hit.groupBy("host", "content").agg(F.collect_set("line").alias("drop")), "drops")
     found = base.join(sized(drops, drops.count(), 400), ["host", "content"], "left")
     stay = F.when(F.col("drop").isNull(), F.col("own")).otherwise(F.filter("own", lambda x: ~F.array_contains(F.col("drop"), digest(x))))
-    return found.select("page_id", "host", F.size("own").alias("lines"), stay.alias("stay"), F.size("own").alias("_n")).select("page_id", "host", "lines", (F.col("_n") - F.size("stay")).alias("dropped"), F.array_join("stay", "\n").alias("text"))
+    left = found.select("page_id", "host", F.size("own").alias("lines"), stay.alias("stay"))
+    return left.select("page_id", "host", "lines", (F.col("lines") - F.size("stay")).alias("dropped"), F.array_join("stay", "\n").alias("text"))

@@ -99,9 +99,9 @@ class Encoder:
     def _encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, lengths = [], []
         for a, b in by_bytes(segments, INDEXED):
-            for found, count in (self._encode_block(segments[a:b]),):
-                ids.append(found)
-                lengths.append(count)
+            found, count = self._encode_block(segments[a:b])
+            ids.append(found)
+            lengths.append(count)
         return np.concatenate(ids), np.concatenate(lengths)
 
     def _encode_block(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -89,7 +89,7 @@ def nra(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
-    """Whole numbers as floats where sums of products stay exact, else as Python integers."""
+    """The whole numbers floor(256 x), one vector a row, shorter ones filled up with zeros."""
     rows = [np.floor(256 * np.asarray(v, np.float64)) for v in values]
     wide = max(map(len, rows), default=0)
     grid = np.zeros((len(rows), wide))
