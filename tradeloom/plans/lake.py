@@ -23,7 +23,7 @@ from tradeloom.plans.star import SNAPSHOT_LOOKBACK_DAYS, StarBuild, build
 from tradeloom.session import folder_exists, stored
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
-from tradeloom.sources.raw import RAW_SCHEMA, SNAPSHOT_SCHEMA, location_rows, raw_rows, snapshot_rows
+from tradeloom.sources.raw import RAW_SCHEMA, location_rows, raw_rows, snapshot_rows
 from tradeloom.sources.tables import KeyedTable
 from tradeloom.streaming.landing import LOADS_SCHEMA, land_rows, stream_landing
 
