@@ -21,7 +21,7 @@ from tradeloom.sources.raw import location_rows, raw_rows, scan, snapshot_rows
 
 RUN_ID = "00000000-0000-0000-0000-000000000001"
 AS_OF = "2024-02-01 00:00:00"
-PARTS = 4
+PARTS = 2
 NEXT_DOCUMENT = 10**12
 MONEY = "decimal(18,2)"
 EXPLICIT_NULLS = {"ignoreNullFields": "false"}
