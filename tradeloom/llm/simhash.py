@@ -200,9 +200,12 @@ def grouped(docs: DataFrame) -> DataFrame:
     return _rows(docs).select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
 
 
-def kept(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, with the smallest id, and all its columns."""
-    rows = written(_rows(docs), "rows")
+def kept(docs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """``docs`` with one document of each group, with the smallest id, and all its columns.
+
+    ``rows`` are the groups (doc_id, hash, root, component_id) if they don't come from fingerprints.
+    """
+    rows = written(_rows(docs) if rows is None else rows, "rows")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     best = rows.filter(first).groupBy("root").agg(F.min("hash").alias("best"))
     second = rows.filter(first).join(best, "root").filter(F.col("hash") != F.col("best"))
