@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters
+from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters, whitening
 from tradeloom.llm.common import id_bucket, table
 
 #: Vocabulary files of public tokenizers.
@@ -152,3 +152,8 @@ common AS (SELECT host, list(line) AS drops FROM counts JOIN sites USING (host)
 stay AS (SELECT page_id, host, own, list_filter(own, lambda x: NOT list_contains(coalesce(drops, []), x)) AS stay FROM own LEFT JOIN common USING (host))
 SELECT page_id, host, CAST(len(own) AS INTEGER) AS lines, CAST(len(own) - len(stay) AS INTEGER) AS dropped, array_to_string(stay, chr(10)) AS text FROM stay
 """
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
