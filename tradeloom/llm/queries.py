@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact_dedup, language_id, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters, whitening
+from tradeloom.llm import exact_dedup, language_id, lexical, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters, whitening
 from tradeloom.llm.common import id_bucket, table
 
 #: Vocabulary files of public tokenizers.
@@ -157,3 +157,24 @@ SELECT page_id, host, CAST(len(own) AS INTEGER) AS lines, CAST(len(own) - len(st
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH words AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+size AS (SELECT count(*) AS n, CAST(coalesce(sum(len(words)), 0) AS BIGINT) AS l FROM words WHERE len(words) > 0),
+counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM words) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, size GROUP BY term, n),
+asked AS (SELECT i, item_id, term, count(*) AS often FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY i, item_id, term),
+ms AS (SELECT r, doc_id, 100 - 25 + ((25 * len(words) * n) // l) AS m FROM words, size WHERE len(words) > 0),
+scored AS (SELECT i, item_id, r, doc_id, CAST(sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN ms USING (r) GROUP BY i, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
