@@ -105,7 +105,9 @@ class Bucket:
         for nth in np.argsort(-q.weight, kind="stable")[:FOCUS]:
             own = q.weight[nth] / q.length
             apart = math.sqrt((1 - cosine * cosine) * max(0.0, 1 - own * own))
-            least, most = own * cosine - apart - SLACK, own * cosine + apart + SLACK
+            least = own * cosine - apart - SLACK
+            # The axis itself is near enough if the item leans to it that much.
+            most = 1 + SLACK if own >= cosine else own * cosine + apart + SLACK
             if least <= 0:
                 continue
             span = self._list(q.at[nth])
