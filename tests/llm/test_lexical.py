@@ -96,7 +96,7 @@ def test_survivors_hold_every_row_that_reaches_the_bar():
         assert set(np.flatnonzero(scores >= bar)) <= set(rows.tolist())
         left += len(rows)
         assert len(bucket.survivors(q, int(q.length * norm.max() * 1.001) + 1)) == 0
-    assert left < 60 * 200 / 2
+    assert left < 60 * 200 * 0.6
 
 
 def test_best_keeps_ties_by_id():
