@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact_dedup, language_id, lexical, line_dedup, packing, quality, sentencepiece_match, simhash, token_output, topk, url_filters, whitening
+from tradeloom.llm import exact_dedup, language_id, lexical, line_dedup, packing, quality, sentencepiece_match, simhash, substrings, token_output, topk, url_filters, whitening
 from tradeloom.llm.common import id_bucket, table
 
 #: Vocabulary files of public tokenizers.
@@ -178,3 +178,8 @@ scored AS (SELECT i, item_id, r, doc_id, CAST(sum(often * w * ((1000000000 * tf)
 ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(table(spark, sf_dir, "documents"))
