@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 from tradeloom.llm.queries import ORACLES, QUERIES
 
 from .conftest import messy_rows
-from .test_dedup import near_truth
+from .test_near_copies import jaccard_truth
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,7 +49,7 @@ def test_run_as_its_stages_one_by_one(spark):
     for r in sorted(r for r in rows if r[0] in stay):
         last[r[1]] = r
     left = list(last.values())
-    want = {c for _, _, c in near_truth(left)}
+    want = {c for _, c in jaccard_truth(left)}
     tokens = defaultdict(int)
     for r in found.collect():
         tokens[r["doc_id"]] += r["tokens"]

@@ -1,76 +1,208 @@
 """Near duplicates by their similarity itself: every pair of texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
 
-A text's shingles are put in one order for all texts, rare ones first. Two texts that are similar
-enough share one of their first ``n - ceil(0.8 n) + 1`` shingles, so only these are met (a prefix
-filter); lengths and the places of the shared shingle rule out most of the pairs that meet, and the
-sets of the others are compared. No pair is lost: the order comes from counts over some of the texts,
-but any order finds the same pairs.
-
-A shingle that many texts hold early would make pairs with the square of their number. So each text
-first meets one leader of each of its shingles; texts that are linked by then need not meet again,
-and only texts of different components do, in slices.
-
-Texts without words are one group. Fewer words than a shingle make one shingle.
+First the fingerprints of the five-word shingles are joined in their trie (``simhash.links``), and
+a text is compared with the nearest one found; that links most copies at little cost. What
+fingerprints miss is found by a prefix filter, which loses no pair: a text's shingles are put in
+one order for all texts, and two texts that are similar enough share one of their first
+``n - ceil(0.8 n) + 1``. The order is that of the shingles' hashes. A shingle that too many texts
+hold early would make pairs with the square of their number, so it is moved to the end of the
+order, exactly counted, and the texts that held it get others in its place.
+
+A text meets one leader of each of its early shingles, then those in other components that are
+left. Two texts that meet are compared by their early shingles, which already rules most pairs
+out: what both have up to the same hash is known exactly. The sets of the others are compared,
+each pair once.
+
+NULL and empty texts and texts without words are one group. Fewer words than a shingle make one
+shingle. NULL ids are members but name no group that has another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from tradeloom.llm import simhash
-from tradeloom.llm.common import bounded_batches, raw_text, sized
+from tradeloom.llm.common import bounded_batches, by_bytes, raw_text, sized
 from tradeloom.llm.components import components
-from tradeloom.session import written
+from tradeloom.session import stored, written
 
 WIDTH = 5
-#: Texts whose shingles are counted for the order, about, and common shingles that tasks are told of.
-COUNTED, COMMON = 10_000, 1 << 16
-#: Rounds of leaders before all pairs that are left; texts of a shingle, or pairs of a text, in a slice.
-ROUNDS, SLICE = 2, 512
+#: Texts that may hold a shingle early, rounds in which shingles are moved to the end, texts of a shingle that meet in a slice.
+TOO_MANY, TURNS, SLICE = 32, 2, 512
 
 
 def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array(simhash.shingle_hashes(text, WIDTH), np.uint64).view(np.int64))
 
 
+def early(held: np.ndarray, late: np.ndarray | None = None) -> np.ndarray:
+    """The first of these sorted shingles; ``late`` ones go last."""
+    n = len(held)
+    if late is not None and len(late):
+        last = np.isin(held, late)
+        held = np.concatenate([held[~last], held[last]])
+    return held[: n - (4 * n + 4) // 5 + 1]
+
+
 @F.pandas_udf(ArrayType(LongType()))
 def _shingles(texts: pd.Series) -> pd.Series:
     return pd.Series([shingles(t) for t in texts])
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, text hash, a hash of the set of shingles, their number, and the first of them in the common order."""
-    spark = docs.sparkSession
-    texts = docs.select("text")
-    every = max(1, texts.count() // COUNTED)
-    counted = texts.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select(F.explode(_shingles(raw_text("text"))).alias("s"))
-    top = counted.groupBy("s").count().filter("count > 2").orderBy(F.desc("count"), "s").limit(COMMON).toPandas().sort_values("s")
-    common = spark.sparkContext.broadcast((top["s"].to_numpy(np.int64), top["count"].to_numpy(np.int64)))
-
-    @F.pandas_udf("key long, n int, prefix array<long>")
-    def made(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, counts = common.value
-        for texts in batches:
-            rows = []
-            for text in texts:
-                held = shingles(text)
-                n = len(held)
-                rank = np.zeros(n, np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, held), len(known) - 1)
-                    rank = np.where(known[at] == held, counts[at], 0)
-                first = held[np.lexsort((held, rank))][: n - (4 * n + 4) // 5 + 1]
-                rows.append((xxhash.xxh64_intdigest(held.tobytes()) - (1 << 63), n, first))
-            yield pd.DataFrame(rows, columns=["key", "n", "prefix"])
-
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), made(raw_text("text")).alias("m")).select("doc_id", "hash", "m.*")
+@F.pandas_udf(ArrayType(LongType()))
+def _early_again(texts: pd.Series, late: pd.Series) -> pd.Series:
+    return pd.Series([early(shingles(t), x) for t, x in zip(texts, late, strict=True)])
+
+
+@F.pandas_udf(StructType().add("key", LongType()).add("n", IntegerType()).add("fp", LongType()).add("early", ArrayType(LongType())))
+def _marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for texts in batches:
+        rows = []
+        for a, b in by_bytes(texts.tolist(), 1 << 20):
+            each = [np.array(simhash.shingle_hashes(t, WIDTH), np.uint64) for t in texts.iloc[a:b]]
+            prints = simhash.majorities(np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))).view(np.int64)
+            for fp, hashes in zip(prints.tolist(), each, strict=True):
+                held = np.unique(hashes.view(np.int64))
+                rows.append((xxhash.xxh64_intdigest(held.tobytes()) - (1 << 63), len(held), fp, early(held)))
+        yield pd.DataFrame(rows, columns=["key", "n", "fp", "early"])
+
+
+def may_be_similar(n_a: int, n_b: int, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether sets of these sizes with these first elements, in order of value, can have a Jaccard index of 0.8."""
+    if 5 * min(n_a, n_b) < 4 * max(n_a, n_b):
+        return False
+    # Up to the lesser of the two last values both sets are known.
+    known_a, known_b = (len(a), int(np.searchsorted(b, a[-1], "right"))) if len(a) and len(b) and a[-1] <= b[-1] else (int(np.searchsorted(a, b[-1], "right")) if len(b) else 0, len(b))
+    both = len(np.intersect1d(a[:known_a], b[:known_b], assume_unique=True))
+    return 9 * (both + min(n_a - known_a, n_b - known_b)) >= 4 * (n_a + n_b)
+
+
+class _Search:
+    """The tables of one run; they are freed with ``held``."""
+
+    def __init__(self, docs: DataFrame, held: ExitStack):
+        self.docs, self.held = docs, held
+        row = F.monotonically_increasing_id().alias("row")
+        marked = docs.select("doc_id", F.xxhash64("text").alias("hash"), _marks(raw_text("text")).alias("m")).select("doc_id", "hash", row, "m.*")
+        self.marked = self.keep(marked, "marks")
+        # Sets with one hash are one text from here on, so copies make no pairs.
+        first = self.keep(self.marked.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least")), "firsts")
+        self.texts = self.marked.drop("doc_id").join(sized(first.select("row"), first.count(), 16), "row").drop("row")
+        self.first = first.select("key", "least")
+        nothing = docs.sparkSession.createDataFrame([], "a long, b long")
+        self.compared, self.found, self.links = nothing, None, nothing
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.held.enter_context(stored(df, name))
+
+    def with_texts(self, keys: DataFrame, n: int, row_bytes: int) -> DataFrame:
+        """``keys`` (with key and hash) with their texts; the first of equal hashes counts."""
+        texts = self.docs.select(F.xxhash64("text").alias("hash"), raw_text("text").alias("text"))
+        return texts.join(sized(keys, n, row_bytes), "hash")
+
+    # -- candidates ---------------------------------------------------------
+
+    def by_fingerprint(self) -> DataFrame:
+        """Each text with the first text of its fingerprint, and that one with the first of its nearest."""
+        owners = self.keep(self.texts.groupBy("fp").agg(F.min("key").alias("owner")), "owners")
+        n = owners.count()
+        same = self.texts.select("key", "fp").join(sized(owners, n, 24), "fp").select(F.col("owner").alias("a"), F.col("key").alias("b"))
+        near = simhash.links(owners.select("fp"))
+        near = near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
+        near = self.keep(near.filter("b < a"), "nearest")
+        side = sized(owners, n, 24)
+        named = near.join(side.select(F.col("fp").alias("a"), F.col("owner").alias("own")), "a").join(side.select(F.col("fp").alias("b"), F.col("owner").alias("other")), "b")
+        return same.unionByName(named.select(F.col("own").alias("a"), F.col("other").alias("b")))
+
+    def members(self) -> DataFrame:
+        """``(s, key, n, at)``: the early shingles of texts that another text holds early too."""
+        again = self.docs.sparkSession.createDataFrame([], "key long, hash long, n int, early array<long>, late array<long>")
+        late = again.select(F.col("key").alias("s"))
+        for turn in range(TURNS + 1):
+            current = self._current(again)
+            shared = self.keep(current.select("key", F.explode("early").alias("s")).groupBy("s").count().filter("count > 1"), "shared")
+            hot = self.keep(shared.filter(F.col("count") > TOO_MANY).select("s").join(late, "s", "left_anti"), "hot")
+            if turn == TURNS or hot.isEmpty():
+                break
+            late = self.keep(late.unionByName(hot), "late")
+            again = self._moved(again, late)
+        each = current.select("key", "n", F.posexplode("early").alias("at", "s"))
+        return self.keep(each.join(sized(shared.select("s"), shared.count(), 16), "s").select("s", "key", "n", "at"), "members")
+
+    def _current(self, again: DataFrame) -> DataFrame:
+        """All texts with their early shingles; ``again`` has those that differ from the marks."""
+        plain = self.texts.join(sized(again.select("key"), again.count(), 16), "key", "left_anti")
+        return plain.select("key", "n", "early").unionByName(again.select("key", "n", "early"))
+
+    def _moved(self, again: DataFrame, late: DataFrame) -> DataFrame:
+        """``again`` after no text has a shingle in ``late`` that is not at its end."""
+        n_late = late.count()
+        look = self.texts.select("key", "hash", "n", "early", F.array().cast("array<long>").alias("late"))
+        look = look.join(sized(again.select("key"), again.count(), 16), "key", "left_anti").unionByName(again)
+        while True:
+            hit = look.select("key", F.explode(F.array_except("early", "late")).alias("s")).join(sized(late, n_late, 16), "s")
+            hit = self.keep(hit.groupBy("key").agg(F.collect_list("s").alias("more")), "moved")
+            n, total = hit.agg(F.count("*"), F.coalesce(F.sum(F.size("more")), F.lit(0))).first()
+            if not n:
+                return again
+            asked = look.join(sized(hit, 1, 32 * n + 8 * total), "key").select("key", "hash", "n", F.concat("late", "more").alias("late"))
+            asked = self.keep(asked, "asked")
+            size = 48 * n + 8 * asked.agg(F.sum(F.size("late"))).first()[0]
+            changed = self.with_texts(asked, 1, size).dropDuplicates(["key"])
+            look = self.keep(changed.select("key", "hash", "n", _early_again("text", "late").alias("early"), "late"), "changed")
+            again = self.keep(again.join(sized(look.select("key"), n, 16), "key", "left_anti").unionByName(look), "again")
+
+    def open_members(self, members: DataFrame) -> DataFrame:
+        named = members.join(sized(self.found, self.found.count(), 24), members["key"] == self.found["node"], "left")
+        return self.keep(named.select("s", "key", "n", "at", F.coalesce("component", "key").alias("component")), "open")
+
+    # -- comparison ---------------------------------------------------------
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Link the similar ones among the pairs that were not compared before, and find components anew."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+        pairs = self.keep(pairs.join(self.compared, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            self.compared = self.compared.unionByName(pairs)
+            hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("early").alias("held")), _hopeful), "hopeful")
+            asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
+            n = asked.count()
+            keys = self.texts.select("key", "hash", "n").join(sized(asked, n, 16), "key")
+            sets = self.with_texts(keys, n, 40).dropDuplicates(["key"]).select("key", "n", _shingles("text").alias("held"))
+            self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets"), _similar), "links"))
+        self.found = written(components(self.links, "a", "b"), "found")
+
+    def _met(self, pairs: DataFrame, sets: DataFrame, alike) -> DataFrame:
+        """The pairs whose sets are ``alike``; ids are joined first, and a text in many pairs is dealt in slices."""
+        ends = self.keep(pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")), "ends")
+        n = ends.count()
+        wanted = self.keep(sets.join(sized(ends, n, 24), "key"), "wanted")
+        spread = wanted.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("held").alias("held_a"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+        slices = sized(ends.select(F.col("key").alias("a"), "slices"), n, 24)
+        dealt = pairs.join(slices, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"))
+        other = wanted.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("held").alias("held_b"))
+        met = dealt.join(spread, ["a", "slice"]).join(other, "b").select("a", "b", "n_a", "n_b", "held_a", "held_b")
+        return met.mapInPandas(alike, "a long, b long")
+
+
+def _hopeful(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        good = [may_be_similar(*row) for row in pdf[["n_a", "n_b", "held_a", "held_b"]].itertuples(index=False, name=None)]
+        yield pdf.loc[np.array(good, bool), ["a", "b"]]
+
+
+def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        good = [9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b)) for a, b in zip(pdf["held_a"], pdf["held_b"], strict=True)]
+        yield pdf.loc[np.array(good, bool), ["a", "b"]]
 
 
 def _may(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
@@ -78,36 +210,16 @@ def _may(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
     return (5 * F.least(n, other_n) >= 4 * F.greatest(n, other_n)) & (9 * F.least(n - at, other_n - other_at) >= 4 * (n + other_n))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are similar; a text in many pairs is dealt in slices."""
-    slices = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")), "slices")
-    n = slices.count()
-    dealt = pairs.join(sized(slices, n, 32), "a").withColumn("slice", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
-    ours = sets.select(F.col("key").alias("a"), F.col("held").alias("ours")).join(sized(slices, n, 32), "a")
-    ours = ours.select("a", "ours", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    met = dealt.join(sets.select(F.col("key").alias("b"), F.col("held").alias("theirs")), "b").join(ours, ["a", "slice"])
-    return met.filter(9 * F.size(F.array_intersect("ours", "theirs")) >= 4 * (F.size("ours") + F.size("theirs"))).select("a", "b")
-
-
-def _sets(docs: DataFrame, marked: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The shingles of the texts in these pairs; only their texts are read and moved."""
-    asked = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
-    chosen = marked.select("key", "hash").join(sized(asked, asked.count(), 16), "key").groupBy("key").agg(F.min("hash").alias("hash"))
-    chosen = written(chosen, "chosen")
-    texts = docs.select(F.xxhash64("text").alias("hash"), "text").join(sized(chosen, chosen.count(), 24), "hash")
-    return written(texts.select("key", _shingles(raw_text("text")).alias("held")).groupBy("key").agg(F.first("held").alias("held")), "sets")
-
-
-def _with_leaders(members: DataFrame, turn: int) -> DataFrame:
+def _with_leaders(members: DataFrame) -> DataFrame:
     """Each member of a shingle with the shingle's leader, if they aren't linked yet."""
-    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key", F.lit(turn))).alias("l"))
+    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key")).alias("l"))
     leaders = written(leaders, "leaders")
     met = members.join(sized(leaders, leaders.count(), 48), "s").filter((F.col("component") != F.col("l.component")) & _may(F.col("n"), F.col("at"), F.col("l.n"), F.col("l.at")))
     return met.select(F.col("l.key").alias("a"), F.col("key").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
-    """All members of a shingle that aren't linked yet."""
+def _all_left(members: DataFrame) -> DataFrame:
+    """All members of a shingle that aren't linked yet, in slices."""
     several = members.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
     several = written(several.filter("low < high").select("s", "slices"), "several")
     left = written(members.join(sized(several, several.count(), 24), "s"), "unlinked")
@@ -120,26 +232,17 @@ def _all_pairs(members: DataFrame) -> DataFrame:
 def _rows(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, text hash, the set's hash, a set's hash that names the group, component_id."""
     bounded_batches(docs.sparkSession)
-    marked = written(_marked(docs), "prefixes")
-    each = marked.select("key", "n", F.posexplode("prefix").alias("at", "s"))
-    # Sets with one hash are one text here, so copies make no pairs.
-    shared = written(each.groupBy("s").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").select("s"), "shared")
-    members = written(each.join(sized(shared, shared.count(), 16), "s").select("s", "key", "n", "at").distinct(), "members")
-    linked = members.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
-    open_members = members.withColumn("component", F.col("key"))
-    for turn in range(ROUNDS + 1):
-        pairs = written(_with_leaders(open_members, turn) if turn < ROUNDS else _all_pairs(open_members), "pairs")
-        if not pairs.isEmpty():
-            linked = written(linked.unionByName(_verified(pairs, _sets(docs, marked, pairs))), "links")
-        found = written(components(linked, "a", "b"), "found")
-        if turn < ROUNDS:
-            named = members.join(sized(found, found.count(), 24), members["key"] == found["node"], "left")
-            open_members = written(named.select("s", "key", "n", "at", F.coalesce("component", "key").alias("component")), "open")
-    leaves = written(marked.groupBy("key").agg(F.min("doc_id").alias("least")), "leaves")
-    joined = leaves.join(found, leaves["key"] == found["node"], "left").select("key", "least", F.coalesce("component", "key").alias("root"))
-    roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(joined.select("key", "root").join(roots, "root").select("key", "root", "component_id"), "named")
-    return marked.select("doc_id", "hash", "key").join(sized(named, named.count(), 80), "key")
+    with ExitStack() as held:
+        search = _Search(docs, held)
+        search.compare(search.by_fingerprint())
+        members = search.members()
+        for pairs in (_with_leaders, _all_left):
+            search.compare(pairs(search.open_members(members)))
+        found = search.found
+        joined = search.first.join(found, search.first["key"] == found["node"], "left").select("key", "least", F.coalesce("component", "key").alias("root"))
+        roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+        named = written(joined.select("key", "root").join(roots, "root").select("key", "root", "component_id"), "named")
+        return written(search.marked.select("doc_id", "hash", "key").join(sized(named, named.count(), 80), "key"), "groups")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
