@@ -32,7 +32,7 @@ from tradeloom.llm.common import bounded_batches, raw_text, spans
 from tradeloom.session import stored, written
 
 #: Items searched side by side, results of each, documents in a range of lengths, documents searched first (about).
-ITEMS, BEST, RANGE, FIRST = 1024, 20, 65_536, 8192
+ITEMS, BEST, RANGE, FIRST = 1024, 20, 16_384, 8192
 #: Heaviest terms of an item whose coordinates are held against bounds; slack of bounds in floating point.
 FOCUS, SLACK = 3, 1e-9
 #: What separates terms is blanked, A-Z are lower-cased, all else stays, bytes beyond ASCII too.
