@@ -138,11 +138,9 @@ def _stretches(docs: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     shared = runs.groupBy("gram").agg(F.min("least").alias("low"), F.max("least").alias("high")).filter("low < high").select("gram")
     shared = written(shared, "shared_grams")
     asked = runs.join(sized(shared, shared.count(), 16), "gram").groupBy(*_KEY).agg(F.first("least").alias("least"), F.collect_list(F.struct("gram", "lo", "hi")).alias("r"))
-    asked = written(asked.select(*_KEY, "least", *[F.col(f"r.{c}").alias(c) for c in ("gram", "lo", "hi")]), "asked")
-    count, total = asked.agg(F.count("*"), F.coalesce(F.sum(F.size("lo")), F.lit(0))).first()
+    side = asked.select(*_KEY, "least", *[F.col(f"r.{c}").alias(c) for c in ("gram", "lo", "hi")])
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")
     own = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), text).select("id", "text", *_key(F.col("text")))
-    side = sized(asked, 1, 64 * count + 24 * total)
     met = own.join(side, [own[k] == side[k] for k in _KEY] + [F.col("id") == F.col("least")]).select(side["k1"], side["k2"], "least", "text", "gram", "lo", "hi")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -239,11 +237,9 @@ def _in_large_groups(pieces: DataFrame, large: DataFrame, n_large: int, window:
 
 def _removed(docs: DataFrame, lost: DataFrame, window: int) -> DataFrame:
     """``(k1, k2, removed, sha)`` of the texts that lose some words."""
-    count, total = lost.agg(F.count("*"), F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")
     own = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), text).select("id", "text", *_key(F.col("text")))
-    side = sized(lost, 1, 64 * count + 4 * total)
-    met = own.join(side, [own[k] == side[k] for k in _KEY] + [F.col("id") == F.col("least")])
+    met = own.join(lost, [own[k] == lost[k] for k in _KEY] + [F.col("id") == F.col("least")])
 
     @F.pandas_udf("removed long, sha string")
     def taken(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -259,7 +255,7 @@ def _removed(docs: DataFrame, lost: DataFrame, window: int) -> DataFrame:
                 out.append((int(gone.sum()), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["removed", "sha"])
 
-    done = met.select(side["k1"], side["k2"], taken("text", "starts").alias("r")).select(*_KEY, "r.*")
+    done = met.select(lost["k1"], lost["k2"], taken("text", "starts").alias("r")).select(*_KEY, "r.*")
     return done.dropDuplicates(_KEY)
 
 
