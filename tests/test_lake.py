@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.plans.lake import Lake
 from tradeloom.session import in_parallel
+from tradeloom.sources import tables
 from tradeloom.sources.domains import domain
 from tradeloom.sources.tables import KeyedTable
 
@@ -121,11 +122,12 @@ def test_what_was_never_landed(lake):
         lake.build_star(None, None, None)
 
 
-def test_old_versions_are_freed(lake, tmp_path):
+def test_old_versions_are_freed(lake, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MOST_DELTAS", 1)
     for n in range(6):
         lake.land("orders", save(tmp_path, str(n), "orders", doc(1, 10 + n)))
     for folder in ("raw/*/data", "meta/sync_state/data", "meta/run_log/data"):
-        assert all(len(list(d.iterdir())) <= lake.keep_versions for d in (tmp_path / "lake").glob(folder))
+        assert all(len(list(d.iterdir())) <= lake.keep_versions + tables.MOST_DELTAS + 1 for d in (tmp_path / "lake").glob(folder))
 
 
 def test_requests_counts_and_archive(lake, tmp_path):
@@ -137,6 +139,16 @@ def test_requests_counts_and_archive(lake, tmp_path):
     assert lake.run_log().count() == 0 and lake.run_log_archive().count() == 2
 
 
+def test_archive_beside_a_landing_loses_no_run(lake, spark, tmp_path):
+    page = save(tmp_path, "a", "customers", doc(1, 1))
+    for _ in range(2):
+        lake.land("customers", page)
+    far = F.lit("2999-01-01").cast("timestamp")
+    in_parallel(spark, {"land": lambda: lake.land("customers", page), "archive": lambda: lake.archive_runs(far)}, 2)
+    log, archive = lake.run_log(), lake.run_log_archive()
+    assert log.count() + archive.count() == log.unionByName(archive).select("run_id").distinct().count() == 3
+
+
 def daily(spark, tmp_path, name, *orders):
     from test_star import iso, order
 
@@ -181,3 +193,21 @@ def test_the_daily_job_lands_builds_tests_and_then_publishes(lake, spark, tmp_pa
     assert facts().count() == 2
     log = [(r.status, bool(r.error_message)) for r in lake.run_log().filter("domain = 'all'").orderBy("started_at").collect()]
     assert log == [("success", False), ("failed", True), ("failed", True)]
+
+
+def test_a_late_commit_with_an_older_stamp_is_parsed_and_nothing_new_is_not(lake, spark, tmp_path):
+    bounds = spark.sql("SELECT DATE'2026-01-01' AS start, DATE'2030-03-01' AS as_of")
+    holidays = spark.sql("SELECT DATE'2026-01-01' AS date, 'New Year' AS holiday_name, true AS is_public_holiday")
+
+    def build():
+        lake.build_star(bounds, F.lit("2026-03-01").cast("timestamp"), holidays)
+        table = KeyedTable(spark, f"{lake.root}/star/stg_orders", ["order_id"])
+        return table.version(), rows(table.read(), "order_id")
+
+    lake.land_all(daily(spark, tmp_path, "one", (3, 1)))
+    assert build() == build() == (1, [(3,)])
+    # As a landing that stamped its rows before the first build and committed them after it.
+    old = lake.raw("orders").read()
+    late = old.withColumns({"id": F.lit(6).cast("bigint"), "payload": F.replace("payload", F.lit('"id": 3,'), F.lit('"id": 6,')), "ingested_at": F.lit("2020-01-01").cast("timestamp")})
+    lake.raw("orders").apply(late, lambda known, new: new)
+    assert build() == (2, [(3,), (6,)])

@@ -37,10 +37,11 @@ def guarded_upsert(
     keys: Sequence[str] = ("id",),
     ts: str = "updated_at",
     arrival: Sequence[str] = ARRIVAL,
+    taken_only: bool = False,
 ) -> DataFrame:
     """Insert new keys; replace a stored row unless it is newer than the batch's.
 
-    Both sides have one row per key when they meet, so no key is hot.
+    ``taken_only`` leaves out the rows that stay as they are. Both sides have one row per key when they meet, so no key is hot.
     """
     _check_columns(existing, [*keys, ts], "table")
     incoming = last_arrivals(batch, keys, ts, arrival)
@@ -51,8 +52,9 @@ def guarded_upsert(
         F.col("_old").isNull() | (F.col(f"_new.{ts}") >= F.col(f"_old.{ts}"))
     )
     row = F.when(takes_new, F.col("_new")).otherwise(F.col("_old"))
+    met = old.join(new, list(keys), "full_outer")
     return (
-        old.join(new, list(keys), "full_outer")
+        (met.filter(takes_new) if taken_only else met)
         .select(row.alias("_row"))
         .select(*[F.col(f"_row.{c}").alias(c) for c in columns])
     )

@@ -24,6 +24,7 @@ from tradeloom.session import folder_exists, stored
 from tradeloom.sources.domains import DOMAINS, Domain, domain, split_table
 from tradeloom.sources.pages import ingest
 from tradeloom.sources.raw import RAW_SCHEMA, location_rows, raw_rows, snapshot_rows
+from tradeloom.sources.commits import together
 from tradeloom.sources.tables import KeyedTable
 from tradeloom.streaming.landing import LOADS_SCHEMA, land_rows, stream_landing
 
@@ -194,10 +195,12 @@ class Lake:
         return runlog.status(self.sync_state(), self.run_log())
 
     def archive_runs(self, as_of: Column) -> None:
-        """Move old runs to the archive. The archive is written first: a run is never lost."""
-        hot, old = runlog.archive_split(self.run_log(), self.run_log_archive(), as_of)
-        self._meta("run_log_archive", "run_id").replace(old.dropDuplicates(["run_id"]))
-        self._meta("run_log", "run_id").replace(hot)
+        """Move old runs to the archive. Both tables change at once; runs that start meanwhile wait their turn."""
+        log, archive = self._meta("run_log", "run_id"), self._meta("run_log_archive", "run_id")
+        with together(self.spark, f"{self.root}/meta", [log, archive]):
+            _, old = runlog.archive_split(self.run_log(), self.run_log_archive().limit(0), as_of)
+            archive.apply(old, lambda known, moved: moved)
+            log.apply(old.select("run_id"), lambda known, moved: known.limit(0), runlog.RUN_LOG_SCHEMA, deletes=True)
 
     def validate(self, source_counts: Mapping[str, int], tolerance: float = reconcile.TOLERANCE) -> DataFrame:
         """Compare counts reported by the source with the raw tables."""
@@ -230,6 +233,9 @@ class Lake:
 
     def build_star(self, bounds: DataFrame, as_of: Column, holidays: DataFrame, **options) -> StarBuild:
         """Build or update the star schema from the raw tables."""
+        # The version is looked up first: what lands after it is parsed by the next build.
+        orders = self.raw("orders")
+        options["orders_version"], options["changed_orders"] = orders.version(), orders.changes
         feeds = {feed: self.raw(feed).read() for feed in DOMAINS}
         landed = {feed: rows for feed, rows in feeds.items() if rows is not None}
         if missing := [feed for feed in CORE_FEEDS if feed not in landed]:

@@ -82,6 +82,9 @@ class StarBuild:
     held: bool = False
     #: Stock levels of the days a later run takes; all of them if not given.
     recent_levels: DataFrame | None = None
+    #: Version of the raw orders, and their rows since a version; without them, stamps tell what is new.
+    orders_version: int = 0
+    changed_orders: Callable[[int, int], DataFrame] | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     _stored: dict[str, KeyedTable] = field(default_factory=dict)
 
@@ -134,21 +137,27 @@ class StarBuild:
                 t[f"stg_{name}"] = stage(raw[name])
 
     def _parsed_orders(self, name: str, rows: DataFrame) -> DataFrame:
-        """Parse the documents landed since the last build.
+        """Parse the documents committed since the version that the last build read.
 
-        Landing stamps every row it writes, so a document that changed is not
-        older than the newest one parsed. Documents are replaced whole. The raw
-        table is partitioned by the same ids, so a first build needs no shuffle.
+        The version is noted with what was parsed from it. Documents are replaced
+        whole. The raw table is partitioned by the same ids, so a first build
+        needs no shuffle.
         """
         table = self._table(name, ["order_id"], f"order_id div {self.id_bucket}")
         known = None if self.full_refresh else table.read()
-        if known is not None:
+        read = table.notes().get("orders") if known is not None and self.changed_orders else None
+        if read is not None and read == self.orders_version:
+            return known
+        if read is not None:
+            rows = self.changed_orders(read, self.orders_version)
+        elif known is not None:
             rows = rows.filter(F.col("ingested_at") >= known.agg(F.max("ingested_at").alias("newest")).scalar())
         parsed = staging.orders(rows, keep=[f.name for f in staging.ORDERS])
+        notes = {"orders": self.orders_version} if self.changed_orders else {}
         if known is None:
-            table.replace(parsed, spread=False)
+            table.replace(parsed, spread=False, notes=notes)
         else:
-            table.apply(parsed, lambda old, new: overlay(old, new, table.keys))
+            table.apply(parsed, lambda old, new: overlay(old, new, table.keys), notes=notes)
         return table.read_held()
 
     def _dimensions(self) -> dict[str, DataFrame]:

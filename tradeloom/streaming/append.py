@@ -14,8 +14,8 @@ from tradeloom.sources.tables import KeyedTable
 def append_new(table: KeyedTable, batch: DataFrame) -> None:
     """Add the ids the table does not have; the first row of an id stays.
 
-    The table is partitioned by id range, so only ranges the batch reaches are
-    read and rewritten.
+    The table is partitioned by id range, so only the keys of ranges that the
+    batch reaches are read, and only new rows are written.
     """
     arrival = [c for c in ARRIVAL if c in batch.columns]
     kept = [c for c in batch.columns if c not in arrival]
@@ -25,8 +25,7 @@ def append_new(table: KeyedTable, batch: DataFrame) -> None:
         rows = batch.dropDuplicates(table.keys)
 
     def resolve(old: DataFrame, new: DataFrame) -> DataFrame:
-        fresh = new.join(old.select(*table.keys), table.keys, "left_anti")
-        return old.unionByName(fresh.select(*old.columns))
+        return new.join(old.select(*table.keys), table.keys, "left_anti").select(*old.columns)
 
     table.apply(rows, resolve)
 
