@@ -6,10 +6,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradeloom.llm import packing, token_output
 
-from .conftest import messy_rows
+from .conftest import DOCS, messy_rows
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -123,5 +124,37 @@ def test_chunks_are_encoded_like_whole_texts(text):
 
     vocabulary = token_output.ranks(RANKS)
     coder = tiktoken.Encoding("own", pat_str=token_output.PATTERN, mergeable_ranks=vocabulary, special_tokens={})
-    ids, counts = token_output.pool(vocabulary).tokens([token_output.chunks(text) if text else [], ["x"]])
+    ids, counts = token_output.Encoder(vocabulary).tokens([text, "x"])
     assert ids[: counts[0]].tolist() == coder.encode_ordinary(text) and counts.sum() == len(ids)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\u00a0ab1'é日."), max_size=30), max_size=8), st.integers(1, 40))
+def test_encoder_as_the_library(texts, block):
+    import tiktoken
+
+    vocabulary = token_output.ranks(RANKS)
+    coder = tiktoken.Encoding("own", pat_str=token_output.PATTERN, mergeable_ranks=vocabulary, special_tokens={})
+    encoder = token_output.Encoder(vocabulary)
+    encoder.pool.block = block
+    for _ in range(2):
+        ids, counts = encoder.tokens(texts)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])][: len(texts)] == [coder.encode_ordinary(t) for t in texts]
+
+
+def test_chunks_whose_hashes_clash_are_told_apart():
+    encoder = token_output.Encoder(token_output.ranks(RANKS))
+    plain, _ = encoder.tokens(["one two one three"])
+    encoder = token_output.Encoder(token_output.ranks(RANKS))
+    encoder.pool.base = 1
+    clashing, _ = encoder.tokens(["one two one three neo eno"])
+    assert clashing[: len(plain)].tolist() == plain.tolist() and clashing[-2:].tolist() != clashing[:2].tolist()
+
+
+def test_rows_without_an_id_and_rows_listed_often_are_spread(spark):
+    rows = [(None if i % 3 else 7, "x" * 9 if i % 3 == 0 else f"text {i} " * 20, "en", "s", 1) for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCS)
+    vocabulary = token_output.ranks(RANKS)
+    dealt = token_output.pack(docs, vocabulary, 300, 2000)
+    sizes = [r["count"] for r in dealt.select("shard", F.explode("doc_ids").alias("d")).groupBy("shard").count().collect()]
+    assert sum(sizes) == 900 and max(sizes) < 4 * 900 / len(sizes) and len(sizes) > 10

@@ -2,7 +2,8 @@
 
 Texts are encoded with a public byte-level vocabulary and end with an end mark. Documents longer
 than a row are cut into pieces of whole rows and a rest; every id is kept. Pieces are dealt to
-shards by a hash and each shard is packed best-fit decreasing: a segment tree over residual
+shards by a hash of what they are and, if a task has the same one again, of how often, so that no
+id, no missing id and no row listed many times fills a shard. Each shard is packed best-fit decreasing: a segment tree over residual
 capacities finds the fullest row that still has room.
 
 A packed row holds its ids (little-endian, filled up with the end mark), cumulative segment
@@ -16,24 +17,27 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.chunks import ChunkPool
-from tradeloom.llm.common import bounded_batches, raw_text
+from tradeloom.llm.chunks import BytePool
+from tradeloom.llm.common import bounded_batches, raw_text, spans
 from tradeloom.session import written
 
 LENGTH, SHARD_TOKENS = 2048, 1 << 20
 #: Fixed value: how the vocabulary's texts are cut before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Signs that only one of the two expression languages takes for white space.
-_ODD = re.compile("[\x1c-\x1f]")
-_CHUNK = re.compile(r"\s*\S+|\s+")
+#: Signs that are white space to the pattern but not a blank of one byte, or the other way round.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Packed shards that one task gets, about.
+SHARDS_A_TASK = 8
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -42,22 +46,37 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def chunks(text: str) -> list[str]:
-    """Parts that are encoded apart: cut where white space begins, which no token goes over."""
-    return [text] if _ODD.search(text) else _CHUNK.findall(text)
+class Encoder:
+    """Token ids of batches of texts."""
 
+    def __init__(self, vocabulary: dict[bytes, int]):
+        import tiktoken
 
-def pool(vocabulary: dict[bytes, int]) -> ChunkPool:
-    import tiktoken
+        self.coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
+        self.widths = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        self.widths[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.pool = BytePool(self._encode)
 
-    coder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
+    def _encode(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks that begin with a blank and don't end with one are encoded as one text: no token goes over such a seam."""
+        blanks, coder = b" \t\n\v\f\r", self.coder
+        plain = np.array([c[0] in blanks and c[-1] not in blanks for c in chunks])
+        if _ODD.search(b" ".join(chunks).decode()):
+            plain &= [not _ODD.search(c.decode()) for c in chunks]
+        joined = [c for c, p in zip(chunks, plain.tolist(), strict=True) if p]
+        found = np.array(coder.encode_ordinary(b"".join(joined).decode()), np.int32)
+        ends = np.searchsorted(np.cumsum(self.widths[found]), np.cumsum([len(c) for c in joined], dtype=np.int64), "right")
+        others = [coder.encode_ordinary(chunks[at].decode()) for at in np.flatnonzero(~plain)]
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[plain], lengths[~plain] = np.diff(ends, prepend=0), np.fromiter(map(len, others), np.int64, len(others))
+        order = np.argsort(~plain, kind="stable")
+        starts = np.empty(len(chunks), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.concatenate([found, np.fromiter(chain.from_iterable(others), np.int32)])[spans(starts, lengths)], lengths
 
-    def encode(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [coder.encode_ordinary(p) for p in parts]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
-
-    return ChunkPool(encode)
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
+        return self.pool.tokens([t.encode() for t in texts], [bool(_ODD.search(t)) for t in texts])
 
 
 class Capacities:
@@ -115,29 +134,42 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pieces(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH) -> DataFrame:
-    """``(doc_id, nameless, piece, tokens, ids)``: the ids of every document, at most ``length`` in a row."""
+    """``(doc_id, nameless, piece, tokens, ids, again)``: the ids of every document, at most ``length`` in a row.
+
+    ``again`` counts the equal rows that a task has seen before; equal rows may swap it.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
     end, kind = len(vocabulary), id_type(vocabulary)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = pool(shared.value)
+        encoder, seen = Encoder(shared.value), Counter()
         for pdf in batches:
-            ids, counts = known.tokens([chunks(t) if t else [] for t in pdf["text"]])
-            edges = np.concatenate([[0], np.cumsum(counts)])
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for k, (doc, nameless) in enumerate(zip(pdf["doc_id"], pdf["nameless"], strict=True)):
-                own = np.append(ids[edges[k] : edges[k + 1]], end).astype(kind)
-                for nth, at in enumerate(range(0, len(own), length)):
-                    part = own[at : at + length]
-                    for column, value in zip(out, (doc, nameless, nth, len(part), part.tobytes()), strict=True):
-                        column.append(value)
-            yield pd.DataFrame(dict(zip(("doc_id", "nameless", "piece", "tokens", "ids"), out, strict=True)))
+            ids, counts = encoder.tokens([t or "" for t in pdf["text"]])
+            ends = np.cumsum(counts + 1)
+            filled = np.full(len(ids) + len(counts), end, kind)
+            real = np.ones(len(filled), bool)
+            real[ends - 1] = False
+            filled[real] = ids
+            parts = -(-(counts + 1) // length)
+            doc = np.repeat(np.arange(len(counts)), parts)
+            nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = (ends - counts - 1)[doc] + nth * length
+            stop = np.minimum(start + length, ends[doc])
+            raw, wide = filled.tobytes(), filled.itemsize
+            out = pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[doc], "nameless": pdf["nameless"].to_numpy()[doc], "piece": nth, "tokens": stop - start})
+            out["ids"] = [raw[a:b] for a, b in zip((start * wide).tolist(), (stop * wide).tolist(), strict=True)]
+            again = []
+            for same in zip(out["doc_id"].tolist(), nth.tolist(), map(xxhash.xxh64_intdigest, out["ids"]), strict=True):
+                again.append(seen[same])
+                seen[same] += 1
+            out["again"] = again
+            yield out
 
     # Long numbers with NULLs among them would be rounded in pandas.
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), "text")
-    return plain.mapInPandas(cut, "doc_id long, nameless boolean, piece int, tokens int, ids binary")
+    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("nameless"), F.coalesce("text", F.lit("")).alias("text"))
+    return plain.mapInPandas(cut, "doc_id long, nameless boolean, piece int, tokens int, ids binary, again long")
 
 
 def id_type(vocabulary: dict[bytes, int]) -> str:
@@ -150,7 +182,9 @@ def pack(docs: DataFrame, vocabulary: dict[bytes, int], length: int = LENGTH, sh
     # Tokens are not counted beforehand; four bytes each is near enough to size shards.
     size, count = docs.agg(F.sum(F.octet_length(raw_text("text"))), F.count("*")).first()
     shards = max(1, -(-((size or 0) // 4 + count) // shard_tokens))
-    dealt = pieces(docs, vocabulary, length).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "tokens"), F.lit(shards)))
+    shard = F.pmod(F.xxhash64("doc_id", "nameless", "piece", "ids", "again"), F.lit(shards))
+    # Tasks grow in number with the shards.
+    dealt = pieces(docs, vocabulary, length).withColumn("shard", shard).drop("again").repartition(-(-shards // SHARDS_A_TASK), "shard")
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["tokens", "nameless", "doc_id", "piece", "ids"], ascending=[False, False, True, True, True], kind="stable")
