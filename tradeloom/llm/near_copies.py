@@ -37,6 +37,8 @@ from tradeloom.session import stored, written
 WIDTH = 5
 #: Texts that may hold a shingle early, rounds in which shingles are moved to the end, texts of a shingle that meet in a slice.
 TOO_MANY, TURNS, SLICE = 32, 2, 512
+#: Bytes of an Arrow batch: shingles take many times the room of their texts.
+BATCH = 1 << 20
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -156,8 +158,8 @@ class _Search:
             asked = look.join(sized(hit, 1, 32 * n + 8 * total), "key").select("key", "hash", "n", F.concat("late", "more").alias("late"))
             asked = self.keep(asked, "asked")
             size = 48 * n + 8 * asked.agg(F.sum(F.size("late"))).first()[0]
-            changed = self.with_texts(asked, 1, size).dropDuplicates(["key"])
-            look = self.keep(changed.select("key", "hash", "n", _early_again("text", "late").alias("early"), "late"), "changed")
+            changed = self.with_texts(asked, 1, size).select("key", "hash", "n", _early_again("text", "late").alias("early"), "late")
+            look = self.keep(changed.dropDuplicates(["key"]), "changed")
             again = self.keep(again.join(sized(look.select("key"), n, 16), "key", "left_anti").unionByName(look), "again")
 
     def open_members(self, members: DataFrame) -> DataFrame:
@@ -176,7 +178,7 @@ class _Search:
             asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
             n = asked.count()
             keys = self.texts.select("key", "hash", "n").join(sized(asked, n, 16), "key")
-            sets = self.with_texts(keys, n, 40).dropDuplicates(["key"]).select("key", "n", _shingles("text").alias("held"))
+            sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held")).dropDuplicates(["key"])
             self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets"), _similar), "links"))
         self.found = written(components(self.links, "a", "b"), "found")
 
@@ -231,7 +233,7 @@ def _all_left(members: DataFrame) -> DataFrame:
 
 def _rows(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, text hash, the set's hash, a set's hash that names the group, component_id."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH)
     with ExitStack() as held:
         search = _Search(docs, held)
         search.compare(search.by_fingerprint())
