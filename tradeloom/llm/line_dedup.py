@@ -1,8 +1,9 @@
 """Line dedup by site-relative frequency, in DataFrame operations only.
 
 Pages are grouped by the host of their URL. A line's frequency on a site is the number of the
-site's pages that contain it over the number of its pages. Lines over ``ratio`` that at least
-``least`` pages of the site contain are boilerplate and are dropped from all its pages.
+site's pages that contain it over the number of its pages. Lines that repeat on the site, on a share
+of its pages over ``ratio``, are boilerplate and are dropped from all its pages, whatever its size:
+two pages that share a line lose it if they are the site.
 
 Lines are the text blocks of the HTML (or of plain text), without markup, with white space
 collapsed; blank lines are not lines. NULL or empty HTML has no lines and still counts as a
@@ -19,7 +20,8 @@ from tradeloom.llm.common import sized
 from tradeloom.llm.url_filters import host
 from tradeloom.session import written
 
-RATIO, LEAST = 0.3, 3
+#: On the given pages lines with a larger share are few and are the same on most sites; below it the counts soar.
+RATIO = 0.1
 #: Patterns of markup, in the order in which they are replaced.
 MARKUP = [
     (r"(?is)<(script|style)\b.*?</(script|style)\s*>", "\n"),
@@ -45,13 +47,13 @@ def digest(line: Column) -> Column:
     return F.unhex(F.md5(line.cast("binary")))
 
 
-def dedup(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
+def dedup(pages: DataFrame, ratio: float = RATIO) -> DataFrame:
     """One row per page: page_id, host, lines, dropped, text (the lines that stay)."""
     own = pages.select("page_id", host(F.col("url")).alias("host"), lines(F.col("html")).alias("own"))
     # Pages of a site with equal lines lose the same ones, so these name a page's content.
     base = written(own.withColumn("content", digest(F.array_join("own", "\n"))), "lines")
     each = base.select("host", "content", F.explode(F.array_distinct("own")).alias("line")).select("host", "content", digest(F.col("line")).alias("line"))
-    counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     sites = written(base.groupBy("host").agg(F.count("*").alias("pages")), "sites")
     common = counts.join(sized(sites, sites.count(), 200), "host").filter(F.col("n") > F.lit(ratio) * F.col("pages")).select("host", "line")
     common = written(common, "common")
