@@ -10,6 +10,10 @@ Edges are a page's canonical link, its refresh target, any table of redirects, a
 a URL that servers redirect to each other (scheme, ``www.``, fragment, tracking parameters, a
 closing slash, ``index.html``, ``.html``).
 
+Targets are resolved against the page as a browser does: whole URLs, ``//host``, ``/path``, ``?query``,
+``../path``, ``path``; entities of the ampersand are decoded. An empty target, a fragment alone and other
+schemes (``mailto:``) are no links; on a page without a host only whole URLs are.
+
 NULL URLs and URLs without ``://`` have an empty host and path, fit no rule, have no aliases and
 are allowed. Repeated pages get a row each. NULL or empty HTML has no links.
 """
@@ -60,16 +64,39 @@ def form(url: Column) -> Column:
     return F.when(name != "", F.concat(F.lit("https://"), name, place, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit(""))))
 
 
+def resolved(page: Column, target: Column) -> Column:
+    """The URL that a link on a page leads to; NULL if it leads nowhere."""
+    target = F.trim(F.regexp_replace(F.coalesce(target, F.lit("")), r"(?i)&(amp|#38|#x26);", "&"))
+    whole, site = target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.regexp_extract(page, r"^[^/?#]*://[^/?#]+", 0)
+    scheme, here = F.regexp_extract(page, r"^[^/?#]*:", 0), path(page)
+    asked, own = F.regexp_extract(target, r"^[^?#]*(.*)$", 1), F.regexp_extract(target, r"^[^?#]*", 0)
+    folder = F.concat(F.when(here.startswith("/"), F.lit("")).otherwise(F.lit("/")), F.regexp_extract(here, r"^.*/", 0))
+    place = F.when(own == "", here).when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    up = lambda kept, x: F.when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(x == ".", kept).otherwise(F.array_append(kept, x))
+    parts = F.aggregate(F.split(F.regexp_replace(place, r"^/", ""), "/"), F.array().cast("array<string>"), up)
+    # A path that ends in a dot segment is a folder.
+    straight = F.concat(F.lit("/"), F.array_join(parts, "/"), F.when(place.rlike(r"/\.\.?$") & (F.size(parts) > 0), F.lit("/")).otherwise(F.lit("")))
+    dotted = place.rlike(r"(^|/)\.\.?(/|$)")
+    return (
+        F.when((target == "") | target.startswith("#"), None)
+        .when(whole, target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (site == ""), None)
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .otherwise(F.concat(site, F.when(dotted, straight).otherwise(place), asked))
+    )
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """Canonical links and refresh targets as edges ``(a, b)`` of URLs; relative ones are resolved against the site."""
+    """Canonical links and refresh targets as edges ``(a, b)`` of URLs."""
 
     def target(tag: str, attribute: str) -> Column:
-        found = F.regexp_extract(F.regexp_extract("html", tag, 0), attribute, 1)
-        site = F.regexp_extract("url", r"^[^/?#]*://[^/?#]*", 0)
-        return F.when(F.contains(found, F.lit("://")), found).when((site != "") & found.startswith("/"), F.concat(site, found))
+        # A quoted value may hold blanks and the other quote.
+        found = F.regexp_extract("html", tag, 0)
+        values = [F.regexp_extract(found, attribute + value, 1) for value in (r"\s*'([^']*)'", r'\s*"([^"]*)"', r"\s*([^\"'\s>]+)")]
+        return resolved(F.col("url"), F.coalesce(*[F.nullif(v, F.lit("")) for v in values]))
 
-    canonical = target(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
-    refresh = target(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)")
+    canonical = target(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=")
+    refresh = target(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=")
     return pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select(F.col("url").alias("a"), F.explode(F.array(canonical, refresh)).alias("b")).filter("b IS NOT NULL")
 
 
