@@ -65,11 +65,11 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_exact_topk"] = """
-WITH sound AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WITH sound AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
@@ -148,7 +148,7 @@ WITH own AS (SELECT row_number() OVER () AS r, page_id, translate(regexp_extract
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, {_lines_sql()} AS own FROM pages),
 sites AS (SELECT host, count(*) AS pages FROM own GROUP BY host),
 counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(own)) AS line FROM own) GROUP BY host, line),
-common AS (SELECT host, list(line) AS drops FROM counts JOIN sites USING (host) WHERE n >= {line_dedup.LEAST} AND n > {line_dedup.RATIO} * pages GROUP BY host),
+common AS (SELECT host, list(line) AS drops FROM counts JOIN sites USING (host) WHERE n > 1 AND n > {line_dedup.RATIO} * pages GROUP BY host),
 stay AS (SELECT page_id, host, own, list_filter(own, lambda x: NOT list_contains(coalesce(drops, []), x)) AS stay FROM own LEFT JOIN common USING (host))
 SELECT page_id, host, CAST(len(own) AS INTEGER) AS lines, CAST(len(own) - len(stay) AS INTEGER) AS dropped, array_to_string(stay, chr(10)) AS text FROM stay
 """
