@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import dataclasses
+import time
 
 import numpy as np
 import pytest
@@ -95,3 +96,28 @@ def test_messy_documents(messy, none, pieces, library):
         assert r["decoded"] == r["text"]
         assert r["ids"] is None if r["text"] is None else np.frombuffer(r["ids"], "<i4").tolist() == library.encode(r["text"])
     assert match.decode(match.encode(none, pieces), pieces).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("abther▁é中", min_size=1, max_size=120))
+def test_long_segments_as_short_ones(pieces, text):
+    encoder = match.Encoder(pieces)
+    table = encoder._edges(np.frombuffer(text.encode("utf-32-le"), np.uint32), np.array([len(text)]))
+    whole = match._merged(table, pieces.scores.tolist())
+    abreast = match.ABREAST
+    try:
+        match.ABREAST = 1000
+        side = match._relax_merges(table, np.array([len(text)]), pieces.scores)
+    finally:
+        match.ABREAST = abreast
+    assert whole[0].tolist() == side[0].tolist() and whole[1].tolist() == side[1].tolist()
+
+
+def test_a_hundred_thousand_letters_without_a_blank(pieces, library):
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("etaoinshrdlu"), 100_000))
+    encoder = match.Encoder(pieces)
+    start = time.process_time()
+    ids, _ = encoder.encode([text])
+    assert time.process_time() - start < 5
+    assert ids.tolist() == library.encode(text) and encoder.decode(ids.astype(np.int64)) == text

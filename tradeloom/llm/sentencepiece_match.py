@@ -11,7 +11,8 @@ position and then relaxed:
 * in a unigram model from left to right: the best sum of scores up to each position, ties to the
   longer last piece.
 
-Segments of a batch are relaxed side by side. Characters that no piece holds become byte pieces,
+Segments of a batch are relaxed side by side; a long one has a heap of its edges, so a text without
+blanks takes n log n. Characters that no piece holds become byte pieces,
 or the unknown piece in a model without them.
 
 NULL texts have NULL ids, empty ones no ids. Decoding gives back every text that does not
@@ -20,6 +21,7 @@ itself hold the space mark and whose characters the model can spell.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +37,8 @@ from tradeloom.llm.common import bounded_batches, by_bytes, spans
 SPACE = "▁"
 #: Characters of distinct segments that are indexed together.
 INDEXED = 1 << 18
+#: Characters of a segment up to which segments are relaxed side by side, a merge of each at a time.
+ABREAST = 64
 
 
 @dataclass(frozen=True)
@@ -187,9 +191,15 @@ def _bisect(ordered: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
 def _relax_merges(table: np.ndarray, sizes: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and widths of the symbols that are left when no two neighbours can be joined."""
     widest = table.shape[1]
-    at, width = np.arange(len(table)), np.ones(len(table), np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.flatnonzero((sizes <= ABREAST)[owner])
+    width, owner = np.ones(len(at), np.int64), owner[at]
     done_at, done_width = [], []
+    for segment in np.flatnonzero(sizes > ABREAST):
+        first = int(sizes[:segment].sum())
+        left, wide = _merged(table[first : first + sizes[segment]], scores.tolist())
+        done_at.append(left + first)
+        done_width.append(wide)
     while len(at):
         both = width[:-1] + width[1:]
         fits = (owner[:-1] == owner[1:]) & (both <= widest)
@@ -211,6 +221,32 @@ def _relax_merges(table: np.ndarray, sizes: np.ndarray, scores: np.ndarray) -> t
     return at[order], width[order]
 
 
+def _merged(table: np.ndarray, scores: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one long segment: a heap of its edges over a list of linked neighbours."""
+    n, widest, piece_at = len(table), table.shape[1], table.item
+    width, before, after = [1] * n, list(range(-1, n - 1)), list(range(1, n + 1))
+    first = np.flatnonzero(table[: n - 1, 1] >= 0).tolist() if widest > 1 else []
+    heap = [(-scores[piece_at(i, 1)], i, 1, 1) for i in first]
+    heapq.heapify(heap)
+    while heap:
+        _, i, own, other = heapq.heappop(heap)
+        j = after[i]
+        # An edge between symbols that have changed since is void.
+        if width[i] != own or j == n or width[j] != other:
+            continue
+        width[i], width[j] = own + other, 0
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+        for a, b in ((before[i], i), (i, k)):
+            if a >= 0 and b < n and width[a] + width[b] <= widest:
+                piece = piece_at(a, width[a] + width[b] - 1)
+                if piece >= 0:
+                    heapq.heappush(heap, (-scores[piece], a, width[a], width[b]))
+    left = np.flatnonzero(width)
+    return left, np.array(width, np.int64)[left]
+
+
 def _relax_sums(table: np.ndarray, sizes: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and widths of the pieces on the best path through each segment."""
     widest, first = table.shape[1], np.cumsum(sizes) - sizes
