@@ -9,9 +9,9 @@ for each.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.keys import date_key
@@ -21,8 +21,9 @@ from tradeloom.sources.raw import location_rows, raw_rows, scan, snapshot_rows
 
 RUN_ID = "00000000-0000-0000-0000-000000000001"
 AS_OF = "2024-02-01 00:00:00"
-PARTS = 2
-NEXT_DOCUMENT = 10**12
+#: Rows of a document, bits of a row id, and how far apart the ids of a key's documents are.
+ROWS, ID_BITS = 4, 60
+NEXT_DOCUMENT, NEXT_ADJUSTMENT = 10**12, 10**13
 MONEY = "decimal(18,2)"
 EXPLICIT_NULLS = {"ignoreNullFields": "false"}
 
@@ -71,12 +72,21 @@ def line_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def in_parts(rows: DataFrame, row_id: str) -> DataFrame:
-    """Add ``part``: which of a key's documents a row belongs to, by its own id alone.
+def in_parts(rows: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+    """Add ``part``: which of a key's documents a row belongs to, in the order of its own id.
 
-    Every key has up to ``PARTS`` documents, however many rows it has.
+    A document has ``ROWS`` rows at most, so a key has as many as it needs. Rows
+    are numbered in two levels: within slices of the ids, which a hot key is
+    spread over, and from one slice of a key to the next.
     """
-    return rows.withColumn("part", F.pmod(F.col(row_id), F.lit(PARTS)).cast("bigint"))
+    sliced = rows.withColumn("_slice", F.shiftright(F.col(row_id), ID_BITS - 8))
+    inner = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(row_id))
+    upto = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
+    before = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    numbered = sliced.withColumn("_nth", inner).join(before, [*keys, "_slice"])
+    part = F.floor((F.col("_before") + F.col("_nth") - 1) / ROWS).cast("bigint")
+    return numbered.withColumn("part", part).drop("_slice", "_nth", "_before")
 
 
 def sold_as(part: Column) -> Column:
@@ -134,7 +144,7 @@ def _refund(x: Column, gateway: Column) -> Column:
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with nested line items, refunds and transactions."""
-    lines = in_parts(line_rows(spark, sf), "line_id")
+    lines = in_parts(line_rows(spark, sf), ["l_orderkey"], "line_id")
     carried = [
         "line_id", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", "qty", "price", "pct",
     ]
@@ -197,7 +207,7 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
 def adjustment_items(spark: SparkSession, sf: str) -> DataFrame:
     """One stock correction per supplier and shipping month."""
     month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
-    lines = in_parts(line_rows(spark, sf).withColumn("ym", month), "line_id")
+    lines = in_parts(line_rows(spark, sf).withColumn("ym", month), ["l_suppkey", "ym"], "line_id")
 
     def item(x: Column) -> Column:
         return F.struct(
@@ -213,7 +223,7 @@ def adjustment_items(spark: SparkSession, sf: str) -> DataFrame:
     carried = ["line_id", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "qty", "price"]
     nested = lines.groupBy("l_suppkey", "ym", "part").agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("ls"))
     s = F.col("l_suppkey")
-    id = (s * 1_000_000 + F.col("ym") + F.col("part") * 10**14).cast("bigint")
+    id = (s * 1_000_000 + F.col("ym") + F.col("part") * NEXT_ADJUSTMENT).cast("bigint")
     month_text = F.concat(F.substring(F.col("ym").cast("string"), 1, 4), F.lit("-"), F.substring(F.col("ym").cast("string"), 5, 2))
     doc = F.struct(
         id.alias("id"),

@@ -40,7 +40,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatu
     l_returnflag, l_linestatus, strftime(l_shipdate, '%Y%m%d'))), 1, 15) AS BIGINT) AS line_id
 FROM lineitem""",
     "order_line_rows": """
-SELECT *, l_orderkey + 1000000000000 * (line_id % 2) AS order_id,
+SELECT *, l_orderkey + 1000000000000 * ((row_number() OVER (PARTITION BY l_orderkey ORDER BY line_id) - 1) // 4) AS order_id,
   CASE WHEN l_partkey % 10 = 9 THEN l_partkey + 1000000000 ELSE l_partkey END AS sold_as
 FROM line_rows""",
     "headers": f"""
@@ -137,7 +137,7 @@ SELECT CAST(n_nationkey AS BIGINT) AS location_id, n_name AS name, n_nationkey |
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "adjustments": f"""
 SELECT line_id AS adjustment_id,
-  l_suppkey * 1000000 + ym + 100000000000000 * (line_id % 2) AS parent_adjustment_id,
+  l_suppkey * 1000000 + ym + 10000000000000 * ((row_number() OVER (PARTITION BY l_suppkey, ym ORDER BY line_id) - 1) // 4) AS parent_adjustment_id,
   l_partkey * 10 + l_linenumber % 4 AS variant_id,
   CASE WHEN line_id % 37 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS product_id,
   l_suppkey % 25 AS location_id, CASE WHEN l_returnflag = 'R' THEN qty ELSE -qty END AS quantity_delta,

@@ -30,7 +30,7 @@ from tradeloom.sources.raw import location_rows, raw_rows, snapshot_rows
 from tradeloom.sources.seeds import read_holidays
 from tradeloom.sources.tables import KeyedTable
 from tradeloom.streaming.append import stream_append
-from tradeloom.streaming.landing import stream_landing
+from tradeloom.streaming.landing import LOADS_SCHEMA, stream_landing
 
 PAGE_SIZE = 50
 
@@ -347,16 +347,37 @@ def _(spark, sf):
     return landed.select("id", F.get_json_object("payload", "$.last_name").alias("last_name"), "updated_at", _balance("payload").alias("balance"))
 
 
-@query("stream_append", "SELECT event_id AS id, ts AS updated_at, event_type FROM events")
-def _(spark, sf):
-    """Append the events once, though the stream delivers every one of them twice."""
-    source = scratch(spark, "events")
+def _appended(spark: SparkSession, sf: str) -> tuple[KeyedTable, DataFrame]:
+    """The events as a stream into a table, in three runs over a source that grows between them.
+
+    Every run is delivered rows whose ids the table has, from the runs before and
+    from the growing source itself. Also returned: what each run submitted.
+    """
+    source, checkpoint, loads = (scratch(spark, n) for n in ("events", "stream-append", "loads"))
     events = table(spark, sf, "events").select(
         F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("updated_at"), "event_type"
     )
-    for _ in range(2):
-        events.write.mode("append").parquet(source)
     store = KeyedTable(spark, scratch(spark, "appended"), ["id"], "id div 100000000")
-    rows = spark.readStream.schema(events.schema).parquet(source)
-    stream_append(rows, store, scratch(spark, "stream-append")).awaitTermination()
-    return store.read()
+    for run in range(3):
+        # A run brings its third of the events, and the third before it once more.
+        events.filter((F.col("id") % 3 == run) | (F.col("id") % 3 == run - 1)).write.mode("append").parquet(source)
+        rows = spark.readStream.schema(events.schema).parquet(source)
+        stream_append(rows, store, checkpoint, f"run-{run}", loads).awaitTermination()
+    return store, spark.read.schema(LOADS_SCHEMA).parquet(loads)
+
+
+@query("stream_append", "SELECT event_id AS id, ts AS updated_at, event_type FROM events")
+def _(spark, sf):
+    """Append the events once, though the stream delivers two thirds of them twice."""
+    return _appended(spark, sf)[0].read()
+
+
+@query(
+    "stream_load_summary",
+    """SELECT 'run-' || run AS run_id, CAST(count(*) AS BIGINT) AS rows_total, max(ts) AS max_updated_at
+FROM events, range(3) r(run) WHERE event_id % 3 = run OR event_id % 3 = run - 1 GROUP BY run""",
+)
+def _(spark, sf):
+    """Rows that each run of a stream submitted, whether they were new or not, and the newest stamp among them."""
+    loads = _appended(spark, sf)[1].groupBy("run_id")
+    return loads.agg(F.sum("rows_total").alias("rows_total"), F.max("max_updated_at").alias("max_updated_at"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom.operators.pick import latest_by
 from tradeloom.operators.upsert import ARRIVAL
 from tradeloom.sources.tables import KeyedTable
+from tradeloom.streaming.landing import log_load, observed
 
 
 def append_new(table: KeyedTable, batch: DataFrame) -> None:
@@ -30,11 +31,21 @@ def append_new(table: KeyedTable, batch: DataFrame) -> None:
     table.apply(rows, resolve)
 
 
-def stream_append(rows: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
-    """Append a stream of rows; a batch delivered twice adds nothing."""
+def stream_append(
+    rows: DataFrame, table: KeyedTable, checkpoint: str, run_id: str | None = None, loads: str | None = None
+) -> StreamingQuery:
+    """Append a stream of rows; a batch delivered twice adds nothing.
 
-    def write(batch: DataFrame, _: int) -> None:
-        append_new(table, batch)
+    Ids that earlier batches and runs landed are met in the table, so no state
+    grows with the stream. ``loads`` is a folder for the load summary of each
+    batch (the rows have ``updated_at`` then), under the batch's number.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        append_new(table, observed(batch, seen) if loads else batch)
+        if loads:
+            log_load(rows.sparkSession, seen, run_id, f"{loads}/batch={number}")
 
     return (
         rows.writeStream.foreachBatch(write)
