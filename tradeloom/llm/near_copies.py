@@ -102,8 +102,9 @@ class _Search:
         nothing = docs.sparkSession.createDataFrame([], "a long, b long")
         self.compared, self.found, self.links = nothing, None, nothing
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self.held.enter_context(stored(df, name))
+    def keep(self, df: DataFrame, name: str, held: ExitStack | None = None) -> DataFrame:
+        """``df`` in a table, until the run ends or ``held`` does."""
+        return (held or self.held).enter_context(stored(df, name))
 
     def with_texts(self, keys: DataFrame, n: int, row_bytes: int) -> DataFrame:
         """``keys`` (with key and hash) with their texts; the first of equal hashes counts."""
@@ -128,43 +129,54 @@ class _Search:
         """``(s, key, n, at)``: the early shingles of texts that another text holds early too."""
         again = self.docs.sparkSession.createDataFrame([], "key long, hash long, n int, early array<long>, late array<long>")
         late = again.select(F.col("key").alias("s"))
+        older = ExitStack()
         for turn in range(TURNS + 1):
-            current = self._current(again)
-            shared = self.keep(current.select("key", F.explode("early").alias("s")).groupBy("s").count().filter("count > 1"), "shared")
-            hot = self.keep(shared.filter(F.col("count") > TOO_MANY).select("s").join(late, "s", "left_anti"), "hot")
-            if turn == TURNS or hot.isEmpty():
-                break
-            late = self.keep(late.unionByName(hot), "late")
-            again = self._moved(again, late)
-        each = current.select("key", "n", F.posexplode("early").alias("at", "s"))
-        return self.keep(each.join(sized(shared.select("s"), shared.count(), 16), "s").select("s", "key", "n", "at"), "members")
+            with ExitStack() as counts:
+                current = self._current(again)
+                shared = self.keep(current.select("key", F.explode("early").alias("s")).groupBy("s").count().filter("count > 1"), "shared", counts)
+                hot = self.keep(shared.filter(F.col("count") > TOO_MANY).select("s").join(late, "s", "left_anti"), "hot", counts)
+                if turn == TURNS or hot.isEmpty():
+                    each = current.select("key", "n", F.posexplode("early").alias("at", "s"))
+                    members = self.keep(each.join(sized(shared.select("s"), shared.count(), 16), "s").select("s", "key", "n", "at"), "members")
+                    break
+                late = self.keep(late.unionByName(hot), "late")
+            again, newer = self._moved(again, late)
+            older.close()
+            older = newer
+        older.close()
+        return members
 
     def _current(self, again: DataFrame) -> DataFrame:
         """All texts with their early shingles; ``again`` has those that differ from the marks."""
         plain = self.texts.join(sized(again.select("key"), again.count(), 16), "key", "left_anti")
         return plain.select("key", "n", "early").unionByName(again.select("key", "n", "early"))
 
-    def _moved(self, again: DataFrame, late: DataFrame) -> DataFrame:
-        """``again`` after no text has a shingle in ``late`` that is not at its end."""
-        n_late = late.count()
+    def _moved(self, again: DataFrame, late: DataFrame) -> tuple[DataFrame, ExitStack]:
+        """``again`` after no text has a shingle in ``late`` that is not at its end, and what holds it."""
+        n_late, holding = late.count(), ExitStack()
         look = self.texts.select("key", "hash", "n", "early", F.array().cast("array<long>").alias("late"))
         look = look.join(sized(again.select("key"), again.count(), 16), "key", "left_anti").unionByName(again)
         while True:
-            hit = look.select("key", F.explode(F.array_except("early", "late")).alias("s")).join(sized(late, n_late, 16), "s")
-            hit = self.keep(hit.groupBy("key").agg(F.collect_list("s").alias("more")), "moved")
-            n, total = hit.agg(F.count("*"), F.coalesce(F.sum(F.size("more")), F.lit(0))).first()
-            if not n:
-                return again
-            asked = look.join(sized(hit, 1, 32 * n + 8 * total), "key").select("key", "hash", "n", F.concat("late", "more").alias("late"))
-            asked = self.keep(asked, "asked")
-            size = 48 * n + 8 * asked.agg(F.sum(F.size("late"))).first()[0]
-            changed = self.with_texts(asked, 1, size).select("key", "hash", "n", _early_again("text", "late").alias("early"), "late")
-            look = self.keep(changed.dropDuplicates(["key"]), "changed")
-            again = self.keep(again.join(sized(look.select("key"), n, 16), "key", "left_anti").unionByName(look), "again")
-
-    def open_members(self, members: DataFrame) -> DataFrame:
+            with ExitStack() as now:
+                hit = look.select("key", F.explode(F.array_except("early", "late")).alias("s")).join(sized(late, n_late, 16), "s")
+                hit = self.keep(hit.groupBy("key").agg(F.collect_list("s").alias("more")), "moved", now)
+                n, total = hit.agg(F.count("*"), F.coalesce(F.sum(F.size("more")), F.lit(0))).first()
+                if not n:
+                    return again, holding
+                asked = look.join(sized(hit, 1, 32 * n + 8 * total), "key").select("key", "hash", "n", F.concat("late", "more").alias("late"))
+                asked = self.keep(asked, "asked", now)
+                size = 48 * n + 8 * asked.agg(F.sum(F.size("late"))).first()[0]
+                changed = self.with_texts(asked, 1, size).select("key", "hash", "n", _early_again("text", "late").alias("early"), "late")
+                newer = ExitStack()
+                look = self.keep(changed.dropDuplicates(["key"]), "changed", newer)
+                again = self.keep(again.join(sized(look.select("key"), n, 16), "key", "left_anti").unionByName(look), "again", newer)
+            # What the two were made from is not needed any more.
+            holding.close()
+            holding = newer
+
+    def open_members(self, members: DataFrame, now: ExitStack) -> DataFrame:
         named = members.join(sized(self.found, self.found.count(), 24), members["key"] == self.found["node"], "left")
-        return self.keep(named.select("s", "key", "n", "at", F.coalesce("component", "key").alias("component")), "open")
+        return self.keep(named.select("s", "key", "n", "at", F.coalesce("component", "key").alias("component")), "open", now)
 
     # -- comparison ---------------------------------------------------------
 
@@ -174,19 +186,20 @@ class _Search:
         pairs = self.keep(pairs.join(self.compared, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             self.compared = self.compared.unionByName(pairs)
-            hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("early").alias("held")), _hopeful), "hopeful")
-            asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked")
-            n = asked.count()
-            keys = self.texts.select("key", "hash", "n").join(sized(asked, n, 16), "key")
-            sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held")).dropDuplicates(["key"])
-            self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets"), _similar), "links"))
+            with ExitStack() as now:
+                hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("early").alias("held")), _hopeful, now), "hopeful", now)
+                asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked", now)
+                n = asked.count()
+                keys = self.texts.select("key", "hash", "n").join(sized(asked, n, 16), "key")
+                sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held")).dropDuplicates(["key"])
+                self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets", now), _similar, now), "links"))
         self.found = written(components(self.links, "a", "b"), "found")
 
-    def _met(self, pairs: DataFrame, sets: DataFrame, alike) -> DataFrame:
+    def _met(self, pairs: DataFrame, sets: DataFrame, alike, now: ExitStack) -> DataFrame:
         """The pairs whose sets are ``alike``; ids are joined first, and a text in many pairs is dealt in slices."""
-        ends = self.keep(pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")), "ends")
+        ends = self.keep(pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")), "ends", now)
         n = ends.count()
-        wanted = self.keep(sets.join(sized(ends, n, 24), "key"), "wanted")
+        wanted = self.keep(sets.join(sized(ends, n, 24), "key"), "wanted", now)
         spread = wanted.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("held").alias("held_a"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
         slices = sized(ends.select(F.col("key").alias("a"), "slices"), n, 24)
         dealt = pairs.join(slices, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int").alias("slice"))
@@ -212,19 +225,19 @@ def _may(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
     return (5 * F.least(n, other_n) >= 4 * F.greatest(n, other_n)) & (9 * F.least(n - at, other_n - other_at) >= 4 * (n + other_n))
 
 
-def _with_leaders(members: DataFrame) -> DataFrame:
+def _with_leaders(members: DataFrame, now: ExitStack) -> DataFrame:
     """Each member of a shingle with the shingle's leader, if they aren't linked yet."""
     leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key")).alias("l"))
-    leaders = written(leaders, "leaders")
+    leaders = now.enter_context(stored(leaders, "leaders"))
     met = members.join(sized(leaders, leaders.count(), 48), "s").filter((F.col("component") != F.col("l.component")) & _may(F.col("n"), F.col("at"), F.col("l.n"), F.col("l.at")))
     return met.select(F.col("l.key").alias("a"), F.col("key").alias("b")).distinct()
 
 
-def _all_left(members: DataFrame) -> DataFrame:
+def _all_left(members: DataFrame, now: ExitStack) -> DataFrame:
     """All members of a shingle that aren't linked yet, in slices."""
     several = members.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
-    several = written(several.filter("low < high").select("s", "slices"), "several")
-    left = written(members.join(sized(several, several.count(), 24), "s"), "unlinked")
+    several = now.enter_context(stored(several.filter("low < high").select("s", "slices"), "several"))
+    left = now.enter_context(stored(members.join(sized(several, several.count(), 24), "s"), "unlinked"))
     one = left.withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int")).drop("slices")
     other = left.select("s", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "at", "component")])
     met = one.join(other, ["s", "slice"]).filter((F.col("key") < F.col("o_key")) & (F.col("component") != F.col("o_component")) & _may(F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at")))
@@ -239,7 +252,8 @@ def _rows(docs: DataFrame) -> DataFrame:
         search.compare(search.by_fingerprint())
         members = search.members()
         for pairs in (_with_leaders, _all_left):
-            search.compare(pairs(search.open_members(members)))
+            with ExitStack() as now:
+                search.compare(pairs(search.open_members(members, now), now))
         found = search.found
         joined = search.first.join(found, search.first["key"] == found["node"], "left").select("key", "least", F.coalesce("component", "key").alias("root"))
         roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
