@@ -196,6 +196,8 @@ def test_the_daily_job_lands_builds_tests_and_then_publishes(lake, spark, tmp_pa
 
 
 def test_a_late_commit_with_an_older_stamp_is_parsed_and_nothing_new_is_not(lake, spark, tmp_path):
+    from test_star import order
+
     bounds = spark.sql("SELECT DATE'2026-01-01' AS start, DATE'2030-03-01' AS as_of")
     holidays = spark.sql("SELECT DATE'2026-01-01' AS date, 'New Year' AS holiday_name, true AS is_public_holiday")
 
@@ -208,6 +210,36 @@ def test_a_late_commit_with_an_older_stamp_is_parsed_and_nothing_new_is_not(lake
     assert build() == build() == (1, [(3,)])
     # As a landing that stamped its rows before the first build and committed them after it.
     old = lake.raw("orders").read()
-    late = old.withColumns({"id": F.lit(6).cast("bigint"), "payload": F.replace("payload", F.lit('"id": 3,'), F.lit('"id": 6,')), "ingested_at": F.lit("2020-01-01").cast("timestamp")})
+    late = old.withColumns({"id": F.lit(6).cast("bigint"), "payload": F.lit(json.dumps(order(6, 2))), "ingested_at": F.lit("2020-01-01").cast("timestamp")})
     lake.raw("orders").apply(late, lambda known, new: new)
     assert build() == (2, [(3,), (6,)])
+
+
+def test_a_changed_order_picks_anew_from_its_id_range_only(lake, spark, tmp_path):
+    bounds = spark.sql("SELECT DATE'2026-01-01' AS start, DATE'2030-03-01' AS as_of")
+    holidays = spark.sql("SELECT DATE'2026-01-01' AS date, 'New Year' AS holiday_name, true AS is_public_holiday")
+
+    def build():
+        lake.build_star(bounds, F.lit("2026-03-01").cast("timestamp"), holidays)
+        return KeyedTable(spark, f"{lake.root}/star/dim_products", []).read()
+
+    def live(table):
+        return {p: folders[-1][0] for p, folders in KeyedTable(spark, f"{lake.root}/star/{table}", ["range"], "range")._content().live.items()}
+
+    def line(product):
+        return [{"id": 1, "product_id": product, "title": f"P{product}", "quantity": "1", "price": "1"}]
+
+    from test_star import iso, order
+
+    pages = daily(spark, tmp_path, "first", {**order(3, 1), "line_items": line(50)}, {**order(33, 1), "line_items": line(60)})
+    lake.land_all(pages)
+    assert rows(build().filter("is_historical and product_id is not null"), "product_id") == [(50,), (60,), (9,)]
+    before = live("seen_product_id_stg_orders")
+    assert set(before) == {"0", "3"}
+    changed = {**order(3, 1), "updated_at": iso(3), "line_items": line(70)}
+    lake.land("orders", save(tmp_path, "second", "orders", changed))
+    # Product 50 was seen in this order only and is gone; 60 comes from a range that was not read again.
+    assert rows(build().filter("is_historical and product_id is not null"), "product_id") == [(60,), (70,), (9,)]
+    after = live("seen_product_id_stg_orders")
+    assert after["3"] == before["3"] and after["0"] != before["0"]
+    assert live("stg_inventory_adjustments") == live("stg_inventory_adjustments") and len(live("stg_inventory_adjustments")) == 1

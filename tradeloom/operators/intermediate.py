@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +46,25 @@ def order_lines(staged_orders: DataFrame) -> DataFrame:
     )
 
 
-def products_in_orders(staged_orders: DataFrame) -> DataFrame:
-    """Newest title per product seen in order lines, also of delisted products."""
-    seen = (
+@dataclass(frozen=True)
+class Mentions:
+    """Where products or variants are seen, and which mention of one counts.
+
+    ``newest`` of the newest of parts is the newest of all, so parts can be
+    picked from apart, kept, and picked from again when one has changed.
+    """
+
+    key: str
+    seen: Callable[[DataFrame], DataFrame]
+    order: Callable[[], list[Column]]
+    result: Callable[[DataFrame], DataFrame]
+
+    def newest(self, seen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+        return latest_by(seen, [*within, self.key], self.order())
+
+
+def _products_ordered(staged_orders: DataFrame) -> DataFrame:
+    return (
         _lines(staged_orders, "order_id", "created_at")
         .filter("item.product_id IS NOT NULL")
         .select(
@@ -56,14 +75,10 @@ def products_in_orders(staged_orders: DataFrame) -> DataFrame:
             F.col("item.id").cast("bigint").alias("line_id"),
         )
     )
-    order = [*nulls_win("created_at"), F.col("order_id"), F.col("line_id"), F.col("title")]
-    newest = latest_by(seen, ["product_id"], order, keep=["product_id", "title"])
-    return newest.select("product_id", product_title(F.col("title")).alias("title"))
 
 
-def variants_in_orders(staged_orders: DataFrame) -> DataFrame:
-    """Newest product, sku, title and price per variant seen in order lines."""
-    seen = (
+def _variants_ordered(staged_orders: DataFrame) -> DataFrame:
+    return (
         _lines(staged_orders, "order_id", "created_at")
         .filter("item.variant_id IS NOT NULL")
         .select(
@@ -77,30 +92,58 @@ def variants_in_orders(staged_orders: DataFrame) -> DataFrame:
             F.col("item.id").cast("bigint").alias("line_id"),
         )
     )
-    order = [*nulls_win("created_at"), F.col("order_id"), F.col("line_id"), F.col("sku")]
-    keep = ["variant_id", "product_id", "sku", "title", "price_vnd"]
-    return latest_by(seen, ["variant_id"], order, keep=keep)
 
 
-def products_in_adjustments(adjustments: DataFrame) -> DataFrame:
-    """Products seen in stock corrections; these carry no title.
+def _adjusted(adjustments: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Mentions in stock corrections, with the id range of those that are kept by range."""
+    ranged = [c for c in adjustments.columns if c == "range"]
+    return adjustments.filter(F.col(key).isNotNull()).select(key, *columns, *ranged)
+
+
+#: Newest title per product seen in order lines, also of delisted products.
+ORDERED_PRODUCTS = Mentions(
+    "product_id", _products_ordered,
+    lambda: [*nulls_win("created_at"), F.col("order_id"), F.col("line_id"), F.col("title")],
+    lambda picked: picked.select("product_id", product_title(F.col("title")).alias("title")),
+)
+#: Newest product, sku, title and price per variant seen in order lines.
+ORDERED_VARIANTS = Mentions(
+    "variant_id", _variants_ordered,
+    lambda: [*nulls_win("created_at"), F.col("order_id"), F.col("line_id"), F.col("sku")],
+    lambda picked: picked.select("variant_id", "product_id", "sku", "title", "price_vnd"),
+)
+#: Products seen in stock corrections; these carry no title, so the ids are all there is to pick.
+ADJUSTED_PRODUCTS = Mentions(
+    "product_id", lambda adjustments: _adjusted(adjustments, "product_id"), list,
+    lambda picked: picked.select("product_id", F.lit(None).cast("string").alias("title")),
+)
+ADJUSTED_VARIANTS = Mentions(
+    "variant_id", lambda adjustments: _adjusted(adjustments, "variant_id", "product_id", "sku", "created_at", "adjustment_id"),
+    lambda: [*nulls_lose("created_at"), F.col("adjustment_id")],
+    lambda picked: picked.select(
+        "variant_id", "product_id", "sku", F.lit(None).cast("string").alias("title"), F.lit(None).cast(MONEY).alias("price_vnd")
+    ),
+)
+
+
+def _all(mentions: Mentions, rows: DataFrame) -> DataFrame:
+    return mentions.result(mentions.newest(mentions.seen(rows)))
 
-    With no column besides the key to choose, picking the newest row is the
-    same as taking distinct ids.
-    """
-    ids = adjustments.filter("product_id IS NOT NULL").select("product_id").distinct()
-    return ids.withColumn("title", F.lit(None).cast("string"))
+
+def products_in_orders(staged_orders: DataFrame) -> DataFrame:
+    return _all(ORDERED_PRODUCTS, staged_orders)
+
+
+def variants_in_orders(staged_orders: DataFrame) -> DataFrame:
+    return _all(ORDERED_VARIANTS, staged_orders)
+
+
+def products_in_adjustments(adjustments: DataFrame) -> DataFrame:
+    return _all(ADJUSTED_PRODUCTS, adjustments)
 
 
 def variants_in_adjustments(adjustments: DataFrame) -> DataFrame:
-    order = [*nulls_lose("created_at"), F.col("adjustment_id")]
-    picked = latest_by(
-        adjustments.filter("variant_id IS NOT NULL"),
-        ["variant_id"], order, keep=["variant_id", "product_id", "sku"],
-    )
-    return picked.select(
-        "*", F.lit(None).cast("string").alias("title"), F.lit(None).cast(MONEY).alias("price_vnd")
-    )
+    return _all(ADJUSTED_VARIANTS, adjustments)
 
 
 def refunds_by_order(refunds: DataFrame) -> DataFrame:

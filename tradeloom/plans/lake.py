@@ -233,11 +233,11 @@ class Lake:
 
     def build_star(self, bounds: DataFrame, as_of: Column, holidays: DataFrame, **options) -> StarBuild:
         """Build or update the star schema from the raw tables."""
-        # The version is looked up first: what lands after it is parsed by the next build.
-        orders = self.raw("orders")
-        options["orders_version"], options["changed_orders"] = orders.version(), orders.changes
-        feeds = {feed: self.raw(feed).read() for feed in DOMAINS}
-        landed = {feed: rows for feed, rows in feeds.items() if rows is not None}
+        # All is read as of one version of each table, which the build notes.
+        snapshots = {feed: self.raw(feed).snapshot() for feed in DOMAINS}
+        snapshots = {feed: held for feed, held in snapshots.items() if held is not None}
+        landed = {feed: held.read() for feed, held in snapshots.items()}
+        options["snapshots"] = {feed: snapshots[feed] for feed in ("orders", "inventory_adjustments") if feed in snapshots}
         if missing := [feed for feed in CORE_FEEDS if feed not in landed]:
             raise ValueError(f"feeds not landed yet: {missing}")
         root = f"{self.root}/star"

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.operators import dimensions, facts, intermediate, quality, staging
+from tradeloom.operators.intermediate import Mentions
 from tradeloom.operators.merge import merge_into, overlay, recent_days, since_target
 from tradeloom.session import in_parallel
-from tradeloom.sources.tables import KeyedTable
+from tradeloom.sources.tables import KeyedTable, Snapshot
 
 # Per table: its rows, and what stores them.
 Writes = Mapping[str, tuple[DataFrame, Callable[[str, DataFrame], DataFrame]]]
@@ -38,16 +39,17 @@ class FactSpec:
     like_orders: bool = False
 
 
-def fact_specs(bucket: int) -> dict[str, FactSpec]:
-    """Ids grow over time, so a run's rows fall into few id ranges of ``bucket`` ids."""
+def fact_specs(bucket: int, order_bucket: int | None = None) -> dict[str, FactSpec]:
+    """Ids grow over time, so a run's rows fall into few id ranges of ``bucket`` ids, order ids of ``order_bucket``."""
+    orders = order_bucket or bucket
     return {
         "fct_orders": FactSpec(
-            ("order_id",), f"order_id div {bucket}", "order_updated_at", "order_updated_at", ORDER_LOOKBACK_DAYS,
+            ("order_id",), f"order_id div {orders}", "order_updated_at", "order_updated_at", ORDER_LOOKBACK_DAYS,
             like_orders=True,
         ),
         # A line key belongs to one order, so the order id may partition it.
         "fct_order_lines": FactSpec(
-            ("line_key",), f"order_id div {bucket}", "created_at", "created_at", like_orders=True
+            ("line_key",), f"order_id div {orders}", "created_at", "created_at", like_orders=True
         ),
         "fct_transactions": FactSpec(("transaction_id",), f"transaction_id div {bucket}", "created_at", "created_at"),
         "fct_refunds": FactSpec(("refund_id",), f"refund_id div {bucket}", "created_at", "created_at"),
@@ -82,9 +84,11 @@ class StarBuild:
     held: bool = False
     #: Stock levels of the days a later run takes; all of them if not given.
     recent_levels: DataFrame | None = None
-    #: Version of the raw orders, and their rows since a version; without them, stamps tell what is new.
-    orders_version: int = 0
-    changed_orders: Callable[[int, int], DataFrame] | None = None
+    #: Ids per partition of what is partitioned by order, if these ids are spread in another way.
+    order_bucket: int | None = None
+    #: The raw tables ``orders`` and ``inventory_adjustments`` as they were read, which tell what is new.
+    #: Without them stamps do for orders, and adjustments are staged in full.
+    snapshots: Mapping[str, Snapshot] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     _stored: dict[str, KeyedTable] = field(default_factory=dict)
 
@@ -113,9 +117,7 @@ class StarBuild:
             self._each(
                 {
                     "stg_orders": (raw["orders"], self._parsed_orders),
-                    "stg_inventory_adjustments": (
-                        staging.inventory_adjustments(raw["inventory_adjustments"]), self._kept,
-                    ),
+                    "stg_inventory_adjustments": (raw["inventory_adjustments"], self._adjustments),
                 }
             )
         )
@@ -143,39 +145,92 @@ class StarBuild:
         whole. The raw table is partitioned by the same ids, so a first build
         needs no shuffle.
         """
-        table = self._table(name, ["order_id"], f"order_id div {self.id_bucket}")
-        known = None if self.full_refresh else table.read()
-        read = table.notes().get("orders") if known is not None and self.changed_orders else None
-        if read is not None and read == self.orders_version:
-            return known
+        table = self._table(name, ["order_id"], f"order_id div {self.order_bucket or self.id_bucket}")
+        known = None if self.full_refresh else table.snapshot()
+        source = self.snapshots.get("orders")
+        read = known.notes.get("orders") if known and source else None
+        if read is not None and read == source.version:
+            return known.read()
         if read is not None:
-            rows = self.changed_orders(read, self.orders_version)
-        elif known is not None:
-            rows = rows.filter(F.col("ingested_at") >= known.agg(F.max("ingested_at").alias("newest")).scalar())
+            rows = source.changes(read)
+        elif known:
+            rows = rows.filter(F.col("ingested_at") >= known.read().agg(F.max("ingested_at").alias("newest")).scalar())
         parsed = staging.orders(rows, keep=[f.name for f in staging.ORDERS])
-        notes = {"orders": self.orders_version} if self.changed_orders else {}
+        notes = {"orders": source.version} if source else {}
         if known is None:
-            table.replace(parsed, spread=False, notes=notes)
+            table.replace(parsed, spread=source is None, notes=notes)
         else:
             table.apply(parsed, lambda old, new: overlay(old, new, table.keys), notes=notes)
         return table.read_held()
 
+    def _adjustments(self, name: str, rows: DataFrame) -> DataFrame:
+        """Stage the stock corrections of the id ranges that changed since the last build."""
+        source = self.snapshots.get("inventory_adjustments")
+        if source is None:
+            return self._kept(name, staging.inventory_adjustments(rows))
+        part = F.expr(f"parent_adjustment_id div {self.id_bucket}")
+        return self._by_range(name, source, staging.inventory_adjustments, part).drop("range")
+
+    def _by_range(self, name: str, source: Snapshot, make: Callable[[DataFrame], DataFrame], part: Column | None = None) -> DataFrame:
+        """``make`` of every partition of ``source`` apart; only of those that changed it is made anew.
+
+        A partition is made anew as a whole, so what vanished from it is gone from
+        the result too. ``part`` names a row's partition; ``make`` may give it as
+        ``range`` itself. The version that was read is noted with the result.
+        """
+        table = self._table(name, ["range"], "range")
+        known = None if self.full_refresh else table.snapshot()
+        since = known.notes["source"] if known else 0
+        stale = source.touched(since) | ((known.parts if known else set()) - source.parts)
+        if known and not stale:
+            return known.read()
+        rows = make(source.read(sorted(source.touched(since))))
+        if part is not None:
+            rows = rows.withColumn("range", F.coalesce(part.cast("string"), F.lit("none")))
+        if known:
+            table.replace_parts(rows, sorted(stale), {"source": source.version})
+        else:
+            table.replace(rows, notes={"source": source.version})
+        return table.read_held()
+
+    def _newest(self, name: str, mentions: Mentions, part: Column | None = None) -> DataFrame:
+        """The mention that counts of every product or variant in a staging table, from picks that are kept by id range."""
+
+        def picks(rows: DataFrame) -> DataFrame:
+            seen = mentions.seen(rows)
+            if part is not None:
+                seen = seen.withColumn("range", F.coalesce(part.cast("string"), F.lit("none")))
+            return mentions.newest(seen, ["range"])
+
+        kept = self._by_range(f"seen_{mentions.key}_{name}", self._stored[name].snapshot(), picks)
+        return mentions.result(mentions.newest(kept.drop("range")))
+
+    def _seen(self) -> dict[str, DataFrame]:
+        """Products and variants seen in orders and in stock corrections."""
+        order_range = F.expr(f"order_id div {self.order_bucket or self.id_bucket}")
+        jobs = {
+            "ordered_products": partial(self._newest, "stg_orders", intermediate.ORDERED_PRODUCTS, order_range),
+            "ordered_variants": partial(self._newest, "stg_orders", intermediate.ORDERED_VARIANTS, order_range),
+        }
+        adjustments = self.tables["stg_inventory_adjustments"]
+        if "inventory_adjustments" in self.snapshots:
+            jobs["adjusted_products"] = partial(self._newest, "stg_inventory_adjustments", intermediate.ADJUSTED_PRODUCTS)
+            jobs["adjusted_variants"] = partial(self._newest, "stg_inventory_adjustments", intermediate.ADJUSTED_VARIANTS)
+        found = in_parallel(self.spark, jobs, self.threads)
+        plain = {
+            "adjusted_products": intermediate.products_in_adjustments(adjustments),
+            "adjusted_variants": intermediate.variants_in_adjustments(adjustments),
+        }
+        return plain | found
+
     def _dimensions(self) -> dict[str, DataFrame]:
         t = self.tables
-        adjustments, orders = t["stg_inventory_adjustments"], t["stg_orders"]
+        seen = self._seen()
         return {
             "dim_customers": dimensions.dim_customers(t["stg_customers"]),
             "dim_locations": dimensions.dim_locations(t["stg_locations"]),
-            "dim_products": dimensions.dim_products(
-                t["stg_products"],
-                intermediate.products_in_orders(orders),
-                intermediate.products_in_adjustments(adjustments),
-            ),
-            "dim_variants": dimensions.dim_variants(
-                t["stg_variants"],
-                intermediate.variants_in_orders(orders),
-                intermediate.variants_in_adjustments(adjustments),
-            ),
+            "dim_products": dimensions.dim_products(t["stg_products"], seen["ordered_products"], seen["adjusted_products"]),
+            "dim_variants": dimensions.dim_variants(t["stg_variants"], seen["ordered_variants"], seen["adjusted_variants"]),
             "dim_date": dimensions.dim_date(self.bounds, self.holidays),
         }
 
@@ -198,11 +253,11 @@ class StarBuild:
         return table.read_held()
 
     def _merge_fact(self, name: str, rows: DataFrame) -> DataFrame:
-        spec = fact_specs(self.id_bucket)[name]
+        spec = fact_specs(self.id_bucket, self.order_bucket)[name]
         table = self._table(name, spec.keys, spec.partition)
         current = None if self.full_refresh else table.read()
         if current is None:
-            table.replace(rows, spread=not spec.like_orders)
+            table.replace(rows, spread=not (spec.like_orders and self.snapshots))
         else:
             rows = incremental_rows(name, rows, current, spec, self.as_of)
             merge_into(table, rows, spec.append_new_columns)
