@@ -8,8 +8,8 @@ one order for all texts, and two texts that are similar enough share one of thei
 hold early would make pairs with the square of their number, so it is moved to the end of the
 order, exactly counted, and the texts that held it get others in its place.
 
-A text meets one leader of each of its early shingles, then those in other components that are
-left. Two texts that meet are compared by their early shingles, which already rules most pairs
+A text meets a leader of each of its early shingles, then another, then those in other components
+that are left. Two texts that meet are compared by their early shingles, which already rules most pairs
 out: what both have up to the same hash is known exactly. The sets of the others are compared,
 each pair once.
 
@@ -37,6 +37,8 @@ from tradeloom.session import stored, written
 WIDTH = 5
 #: Texts that may hold a shingle early, rounds in which shingles are moved to the end, texts of a shingle that meet in a slice.
 TOO_MANY, TURNS, SLICE = 32, 2, 512
+#: Times that the texts of a shingle meet a leader.
+LED = 2
 #: Bytes of an Arrow batch: shingles take many times the room of their texts.
 BATCH = 1 << 20
 
@@ -225,9 +227,12 @@ def _may(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
     return (5 * F.least(n, other_n) >= 4 * F.greatest(n, other_n)) & (9 * F.least(n - at, other_n - other_at) >= 4 * (n + other_n))
 
 
-def _with_leaders(members: DataFrame, now: ExitStack) -> DataFrame:
-    """Each member of a shingle with the shingle's leader, if they aren't linked yet."""
-    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key")).alias("l"))
+def _with_leaders(members: DataFrame, now: ExitStack, turn: int) -> DataFrame:
+    """Each member of a shingle with the shingle's leader, if they aren't linked yet.
+
+    Every shingle and turn has a leader of its own, so a text of a large group meets many of it.
+    """
+    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key", "s", F.lit(turn))).alias("l"))
     leaders = now.enter_context(stored(leaders, "leaders"))
     met = members.join(sized(leaders, leaders.count(), 48), "s").filter((F.col("component") != F.col("l.component")) & _may(F.col("n"), F.col("at"), F.col("l.n"), F.col("l.at")))
     return met.select(F.col("l.key").alias("a"), F.col("key").alias("b")).distinct()
@@ -251,9 +256,10 @@ def _rows(docs: DataFrame) -> DataFrame:
         search = _Search(docs, held)
         search.compare(search.by_fingerprint())
         members = search.members()
-        for pairs in (_with_leaders, _all_left):
+        for turn in range(LED + 1):
             with ExitStack() as now:
-                search.compare(pairs(search.open_members(members, now), now))
+                open_members = search.open_members(members, now)
+                search.compare(_with_leaders(open_members, now, turn) if turn < LED else _all_left(open_members, now))
         found = search.found
         joined = search.first.join(found, search.first["key"] == found["node"], "left").select("key", "least", F.coalesce("component", "key").alias("root"))
         roots = joined.groupBy("root").agg(F.min("least").alias("component_id"))
