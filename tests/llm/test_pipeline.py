@@ -64,7 +64,7 @@ def test_registered_queries(spark, name):
         assert found.count() > 0
         return
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
