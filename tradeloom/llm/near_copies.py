@@ -62,8 +62,8 @@ def _shingles(texts: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(ArrayType(LongType()))
-def _early_again(texts: pd.Series, late: pd.Series) -> pd.Series:
-    return pd.Series([early(shingles(t), x) for t, x in zip(texts, late, strict=True)])
+def _early_of(helds: pd.Series, lates: pd.Series) -> pd.Series:
+    return pd.Series([early(h, x) for h, x in zip(helds, lates, strict=True)])
 
 
 @F.pandas_udf(StructType().add("key", LongType()).add("n", IntegerType()).add("fp", LongType()).add("early", ArrayType(LongType())))
@@ -154,27 +154,26 @@ class _Search:
         return plain.select("key", "n", "early").unionByName(again.select("key", "n", "early"))
 
     def _moved(self, again: DataFrame, late: DataFrame) -> tuple[DataFrame, ExitStack]:
-        """``again`` after no text has a shingle in ``late`` that is not at its end, and what holds it."""
+        """``again`` after no text has a shingle in ``late`` that is not at its end, and what holds it.
+
+        All shingles of a text that has a late one early are looked up at once, so its texts are read once.
+        """
         n_late, holding = late.count(), ExitStack()
         look = self.texts.select("key", "hash", "n", "early", F.array().cast("array<long>").alias("late"))
         look = look.join(sized(again.select("key"), again.count(), 16), "key", "left_anti").unionByName(again)
-        while True:
-            with ExitStack() as now:
-                hit = look.select("key", F.explode(F.array_except("early", "late")).alias("s")).join(sized(late, n_late, 16), "s")
-                hit = self.keep(hit.groupBy("key").agg(F.collect_list("s").alias("more")), "moved", now)
-                n, total = hit.agg(F.count("*"), F.coalesce(F.sum(F.size("more")), F.lit(0))).first()
-                if not n:
-                    return again, holding
-                asked = look.join(sized(hit, 1, 32 * n + 8 * total), "key").select("key", "hash", "n", F.concat("late", "more").alias("late"))
-                asked = self.keep(asked, "asked", now)
-                size = 48 * n + 8 * asked.agg(F.sum(F.size("late"))).first()[0]
-                changed = self.with_texts(asked, 1, size).select("key", "hash", "n", _early_again("text", "late").alias("early"), "late")
-                newer = ExitStack()
-                look = self.keep(changed.dropDuplicates(["key"]), "changed", newer)
-                again = self.keep(again.join(sized(look.select("key"), n, 16), "key", "left_anti").unionByName(look), "again", newer)
-            # What the two were made from is not needed any more.
-            holding.close()
-            holding = newer
+        side = sized(late, n_late, 16)
+        with ExitStack() as now:
+            hit = look.select("key", "hash", "n", F.explode(F.array_except("early", "late")).alias("s")).join(side, "s")
+            hit = self.keep(hit.select("key", "hash", "n").distinct(), "moved", now)
+            n = hit.count()
+            if not n:
+                return again, holding
+            sets = self.with_texts(hit, n, 40).select("key", "hash", "n", _shingles("text").alias("held"))
+            sets = self.keep(sets.dropDuplicates(["key"]), "whole", now)
+            found = sets.select("key", F.explode("held").alias("s")).join(side, "s").groupBy("key").agg(F.collect_list("s").alias("late"))
+            changed = sets.join(found, "key").select("key", "hash", "n", _early_of("held", "late").alias("early"), "late")
+            kept = again.join(sized(hit.select("key"), n, 16), "key", "left_anti")
+            return self.keep(kept.unionByName(changed), "again", holding), holding
 
     def open_members(self, members: DataFrame, now: ExitStack) -> DataFrame:
         named = members.join(sized(self.found, self.found.count(), 24), members["key"] == self.found["node"], "left")
