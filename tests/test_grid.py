@@ -48,3 +48,10 @@ def test_drift(spark):
     assert got == {"a": (0.001, True), "b": (0.1, False), "c": (0.0, True), "d": (1.0, False)}
     with pytest.raises(ValueError, match="unknown domain"):
         reconcile.table_counts({"nope": source}, "n")
+
+
+def test_no_side_of_the_grid_is_sent_to_the_driver(spark):
+    places = spark.createDataFrame([(101,), (102,)], "location_id bigint")
+    variants = spark.range(1, 4).withColumnRenamed("id", "variant_id")
+    plan = grid.location_grid(places, variants)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -55,7 +55,10 @@ def location_grid(
     column, and the two are equi-joined on the cell. A task thus pairs a slice
     of the locations with a slice of the variants. Shops have far fewer
     locations than variants, so variants get many slices and few copies: as many
-    slices as a shuffle has partitions, so that all tasks have cells.
+    slices as a shuffle has partitions, so that all tasks have cells. The join is a
+    merge of sorted cells: by the size of the documents that ids are taken from, the
+    optimizer would take the variants for few and send them all to the driver. The
+    locations are its right side, of which a task holds a cell's rows.
     """
     variant_slices = variant_slices or max(64, int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -67,4 +70,5 @@ def location_grid(
 
     rows = locations.select("*", slice_of(locations, location_slices).alias("_row"), every(variant_slices).alias("_col"))
     cols = variants.select("*", slice_of(variants, variant_slices).alias("_col"), every(location_slices).alias("_row"))
-    return rows.join(cols, ["_row", "_col"]).drop("_row", "_col")
+    pairs = cols.hint("merge").join(rows, ["_row", "_col"])
+    return pairs.select(*locations.columns, *variants.columns)
