@@ -57,3 +57,9 @@ def test_orders_keep_their_lines_and_read_them_once(spark, tmp_path):
         (1, 4, 0, "0.00"), (1 + 10**12, 4, 0, "0.00"), (1 + 2 * 10**12, 2, 0, "0.00"), (2, 3, 3, f"{back:.2f}"),
         (3, 0, 0, "0.00"), (4, 0, 0, "0.00"),
     ], key=str)
+
+
+def test_documents_of_small_files_are_made_by_all_cores(spark, tmp_path):
+    spark.sql("SELECT id AS p_partkey, 'a b' AS p_name, 'B' AS p_brand, 'T' AS p_type, 3 AS p_size, 1.5D AS p_retailprice FROM range(100)").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    items = feeds.product_items(spark, str(tmp_path))
+    assert items.count() == 100 and items.rdd.getNumPartitions() > 1

@@ -4,6 +4,7 @@ from functools import partial
 
 import pytest
 from conftest import at, rows
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -151,3 +152,18 @@ def test_held_versions_are_seen_when_published(spark, tmp_path, monkeypatch):
     held.discard()
     seen.replace(t(spark, (5, "e")))
     assert rows(seen.read(), "id") == [(5,)]
+
+
+def test_a_repeated_key_is_an_error_without_a_target_too(spark):
+    # Errors of a subquery may reach Python unconverted.
+    with pytest.raises((PySparkException, Py4JJavaError), match="repeats"):
+        merge_rows(t(spark, (1, "a")).filter("id > 5"), t(spark, (2, "x"), (2, "x")), ["id"]).collect()
+
+
+def test_only_keys_of_the_batch_are_grouped(spark, tmp_path):
+    for name, items in (("old", [(1, "a"), (2, "b")]), ("new", [(2, "B"), (None, "c")])):
+        t(spark, *items).write.parquet(str(tmp_path / name))
+    got = merge_rows(spark.read.parquet(str(tmp_path / "old")), spark.read.parquet(str(tmp_path / "new")), ["id"])
+    assert rows(got, "*") == [(1, "a"), (2, "B"), (None, "c")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "first(" not in plan
