@@ -107,3 +107,17 @@ def test_rows_missing_upstream_stay(spark, out):
     star = run(spark, out, [order(22, 26)])
     assert star.tables["fct_orders"].count() == 22
     assert star.tables["fct_transactions"].count() == 44
+
+
+def test_members_taken_from_documents_are_not_sent_to_the_driver(spark):
+    from tradeloom.operators import facts, intermediate
+    from tradeloom.operators.dimensions import missing_from
+
+    ids = spark.createDataFrame([(1, "a"), (2, "b")], "product_id bigint, title string")
+    lines = ids.selectExpr("title AS product_key", "1.5BD AS line_total_vnd", "1 AS quantity")
+    members = ids.selectExpr("title AS product_key", "product_id", "title", "false AS is_historical")
+    orders = spark.createDataFrame([(1, 1), (2, None)], "order_id bigint, customer_id bigint")
+    customers = spark.createDataFrame([(1, "e", "f", "l")], "customer_id bigint, email string, first_name string, last_name string")
+    for df in (missing_from(ids, ids.limit(1), "product_id"), facts.revenue_by_product(lines, members), intermediate.orders_with_customer(orders, customers)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
