@@ -47,7 +47,7 @@ def test_orders_keep_their_lines_and_read_them_once(spark, tmp_path):
         TIMESTAMP '1998-02-03' AS l_shipdate FROM range(15)""").write.parquet(str(tmp_path / "lineitem.parquet"))
     items = feeds.order_items(spark, str(tmp_path))
     plan = items._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("struct<l_orderkey") == 1
+    assert plan.count("struct<l_orderkey") == 1 and "SortMergeJoin" in plan and "Broadcast" not in plan
     schema = "id bigint, total_refunded string, line_items array<struct<id: bigint, price: string>>, refunds array<struct<id: bigint>>"
     docs = items.select(F.from_json("item", schema).alias("d")).select("d.*")
     shown = docs.select("id", F.size("line_items").alias("n"), F.size("refunds").alias("back"), "total_refunded")
