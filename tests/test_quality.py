@@ -1,5 +1,7 @@
 """Data tests."""
 
+import hashlib
+
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
@@ -85,3 +87,13 @@ def test_freshness_limits(spark):
     )
     got = q.freshness(loads, F.lit("2026-01-01 12:00:00").cast("timestamp"))
     assert rows(got, "source", "status") == [("customers", "warn"), ("orders", "warn"), ("products", "error"), ("unlisted", "warn")]
+
+
+def test_hash_keys_are_counted_as_bytes_and_stay_apart_from_other_texts(spark):
+    key = hashlib.md5(b"1").hexdigest()
+    texts = [key, key, key.upper(), bytes.fromhex(key).decode("latin-1"), "h", "", key + " ", key + "\n"]
+    packed = spark.createDataFrame([(x,) for x in texts], "k string").select(q._packed(F.col("k")).alias("p"))
+    got = [bytes(r.p) for r in packed.collect()]
+    assert len(set(got)) == len(set(texts)) and len(got[0]) == 17
+    df = spark.createDataFrame([(x,) for x in texts], "k string")
+    assert rows(q.run_suite({"t": df}, [Rule("t", "k", "unique")]), "failures") == [(1,)]
