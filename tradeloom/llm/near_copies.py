@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from tradeloom.llm import simhash
-from tradeloom.llm.common import bounded_batches, by_bytes, raw_text, sized
+from tradeloom.llm.common import BROADCAST_BYTES, bounded_batches, by_bytes, raw_text, sized
 from tradeloom.llm.components import components
 from tradeloom.session import stored, written
 
@@ -61,9 +61,33 @@ def _shingles(texts: pd.Series) -> pd.Series:
     return pd.Series([shingles(t) for t in texts])
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def _early_of(helds: pd.Series, lates: pd.Series) -> pd.Series:
-    return pd.Series([early(h, x) for h, x in zip(helds, lates, strict=True)])
+def _after(late: DataFrame | None):
+    """A function of a text's shingles and the late ones that are known of it: its early shingles now, and all its late ones.
+
+    ``late`` are the late shingles of all texts, if they are few enough to be sent to every task; without them the known ones are all.
+    """
+    few = None
+    if late is not None:
+        few = late.sparkSession.sparkContext.broadcast(np.sort(np.array([r["s"] for r in late.toLocalIterator()], np.int64)))
+
+    @F.pandas_udf(StructType().add("early", ArrayType(LongType())).add("late", ArrayType(LongType())))
+    def moved(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, known in batches:
+            rows = []
+            for text, own in zip(texts, known, strict=True):
+                held = shingles(text)
+                last = own if few is None else held[_among(held, few.value)]
+                rows.append((early(held, last), last))
+            yield pd.DataFrame(rows, columns=["early", "late"])
+
+    return moved
+
+
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in the sorted array ``some``; it is searched, not gone through."""
+    if not len(some):
+        return np.zeros(len(values), bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
 @F.pandas_udf(StructType().add("key", LongType()).add("n", IntegerType()).add("fp", LongType()).add("early", ArrayType(LongType())))
@@ -98,8 +122,9 @@ class _Search:
         marked = docs.select("doc_id", F.xxhash64("text").alias("hash"), _marks(raw_text("text")).alias("m")).select("doc_id", "hash", row, "m.*")
         self.marked = self.keep(marked, "marks")
         # Sets with one hash are one text from here on, so copies make no pairs.
-        first = self.keep(self.marked.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least")), "firsts")
-        self.texts = self.marked.drop("doc_id").join(sized(first.select("row"), first.count(), 16), "row").drop("row")
+        first = self.marked.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"), (F.count("*") > 1).alias("copied"))
+        first = self.keep(first, "firsts")
+        self.texts = self.marked.drop("doc_id").join(sized(first.select("row", "copied"), first.count(), 24), "row").drop("row")
         self.first = first.select("key", "least")
         nothing = docs.sparkSession.createDataFrame([], "a long, b long")
         self.compared, self.found, self.links = nothing, None, nothing
@@ -109,9 +134,13 @@ class _Search:
         return (held or self.held).enter_context(stored(df, name))
 
     def with_texts(self, keys: DataFrame, n: int, row_bytes: int) -> DataFrame:
-        """``keys`` (with key and hash) with their texts; the first of equal hashes counts."""
+        """``keys`` (with key, hash and copied) with their texts, each once.
+
+        Only texts of sets that several rows have are shuffled for that; the others are found once anyway.
+        """
         texts = self.docs.select(F.xxhash64("text").alias("hash"), raw_text("text").alias("text"))
-        return texts.join(sized(keys, n, row_bytes), "hash")
+        found = texts.join(sized(keys, n, row_bytes), "hash")
+        return found.filter(~F.col("copied")).unionByName(found.filter("copied").dropDuplicates(["key"]))
 
     # -- candidates ---------------------------------------------------------
 
@@ -129,7 +158,7 @@ class _Search:
 
     def members(self) -> DataFrame:
         """``(s, key, n, at)``: the early shingles of texts that another text holds early too."""
-        again = self.docs.sparkSession.createDataFrame([], "key long, hash long, n int, early array<long>, late array<long>")
+        again = self.docs.sparkSession.createDataFrame([], "key long, hash long, copied boolean, n int, early array<long>, late array<long>")
         late = again.select(F.col("key").alias("s"))
         older = ExitStack()
         for turn in range(TURNS + 1):
@@ -156,22 +185,30 @@ class _Search:
     def _moved(self, again: DataFrame, late: DataFrame) -> tuple[DataFrame, ExitStack]:
         """``again`` after no text has a shingle in ``late`` that is not at its end, and what holds it.
 
-        All shingles of a text that has a late one early are looked up at once, so its texts are read once.
+        A text's shingles take more room than the text, so they stay in the task that makes them: they are compared there
+        with all late ones, or those that are late are joined first if they are too many to be sent.
         """
         n_late, holding = late.count(), ExitStack()
-        look = self.texts.select("key", "hash", "n", "early", F.array().cast("array<long>").alias("late"))
+        columns = ["key", "hash", "copied", "n"]
+        look = self.texts.select(*columns, "early", F.array().cast("array<long>").alias("late"))
         look = look.join(sized(again.select("key"), again.count(), 16), "key", "left_anti").unionByName(again)
         side = sized(late, n_late, 16)
         with ExitStack() as now:
-            hit = look.select("key", "hash", "n", F.explode(F.array_except("early", "late")).alias("s")).join(side, "s")
-            hit = self.keep(hit.select("key", "hash", "n").distinct(), "moved", now)
+            hit = look.select(*columns, F.explode(F.array_except("early", "late")).alias("s")).join(side, "s")
+            hit = self.keep(hit.select(*columns).distinct(), "moved", now)
             n = hit.count()
             if not n:
                 return again, holding
-            sets = self.with_texts(hit, n, 40).select("key", "hash", "n", _shingles("text").alias("held"))
-            sets = self.keep(sets.dropDuplicates(["key"]), "whole", now)
-            found = sets.select("key", F.explode("held").alias("s")).join(side, "s").groupBy("key").agg(F.collect_list("s").alias("late"))
-            changed = sets.join(found, "key").select("key", "hash", "n", _early_of("held", "late").alias("early"), "late")
+            if n_late * 16 <= BROADCAST_BYTES:
+                sets = self.with_texts(hit, n, 40).withColumn("known", F.array().cast("array<long>"))
+                moved = _after(late)
+            else:
+                each = self.with_texts(hit, n, 40).select("key", F.explode(_shingles("text")).alias("s"))
+                found = each.join(side, "s").groupBy("key").agg(F.collect_list("s").alias("known"))
+                known = self.keep(hit.join(found, "key"), "known", now)
+                room = known.agg(F.sum(F.size("known") * 8 + 64)).first()[0] or 0
+                sets, moved = self.with_texts(known, 1, room), _after(None)
+            changed = sets.select(*columns, moved("text", "known").alias("m")).select(*columns, "m.*")
             kept = again.join(sized(hit.select("key"), n, 16), "key", "left_anti")
             return self.keep(kept.unionByName(changed), "again", holding), holding
 
@@ -191,8 +228,8 @@ class _Search:
                 hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("early").alias("held")), _hopeful, now), "hopeful", now)
                 asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked", now)
                 n = asked.count()
-                keys = self.texts.select("key", "hash", "n").join(sized(asked, n, 16), "key")
-                sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held")).dropDuplicates(["key"])
+                keys = self.texts.select("key", "hash", "copied", "n").join(sized(asked, n, 16), "key")
+                sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held"))
                 self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets", now), _similar, now), "links"))
         self.found = written(components(self.links, "a", "b"), "found")
 
