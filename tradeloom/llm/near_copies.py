@@ -126,7 +126,8 @@ class _Search:
         first = self.keep(first, "firsts")
         self.texts = self.marked.drop("doc_id").join(sized(first.select("row", "copied"), first.count(), 24), "row").drop("row")
         self.first = first.select("key", "least")
-        nothing = docs.sparkSession.createDataFrame([], "a long, b long")
+        # Not createDataFrame: that starts Python workers of another kind, which stay.
+        nothing = docs.sparkSession.range(0).selectExpr("id AS a", "id AS b")
         self.compared, self.found, self.links = nothing, None, nothing
 
     def keep(self, df: DataFrame, name: str, held: ExitStack | None = None) -> DataFrame:
@@ -158,7 +159,7 @@ class _Search:
 
     def members(self) -> DataFrame:
         """``(s, key, n, at)``: the early shingles of texts that another text holds early too."""
-        again = self.docs.sparkSession.createDataFrame([], "key long, hash long, copied boolean, n int, early array<long>, late array<long>")
+        again = self.docs.sparkSession.range(0).selectExpr("id AS key", "id AS hash", "id > 0 AS copied", "int(id) AS n", "array(id) AS early", "array(id) AS late")
         late = again.select(F.col("key").alias("s"))
         older = ExitStack()
         for turn in range(TURNS + 1):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import bounded_batches, free, id_bucket, raw_text, sample
+from tradeloom.llm.common import bounded_batches, by_bytes, free, id_bucket, raw_text, sample
 
 WORD_SLOTS = 1 << 13
 #: Labelled rows that the model is fitted to, at most; dealt by a hash of the id.
@@ -33,7 +33,8 @@ FIT_ROWS = 4000
 FACTORS, STEPS, BATCH, RATE, DECAY = 8, 600, 64, 0.05, 1e-5
 STATISTICS = 12
 LENGTH_SLOTS = 24
-_CACHED = 400_000
+#: Words whose slots a task remembers, and bytes of text that are scored at once: a vector takes many times the room of its text.
+_CACHED, SLICE = 1 << 15, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,12 @@ def scores(model: Machine, ids: np.ndarray, values: np.ndarray, starts: np.ndarr
     return 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
 
 
+def text_scores(model: Machine, texts: list[bytes], lengths: np.ndarray, slots: _Slots) -> np.ndarray:
+    """The score of each text; only the vectors of a slice are held at once."""
+    parts = [scores(model, *vectors(texts[a:b], lengths[a:b], slots)) for a, b in by_bytes(texts, SLICE)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], word_slots: int = WORD_SLOTS, seed: int = 7) -> Machine:
     """Mini-batch AdaGrad on the log loss; rows are (label, slots, values). The number of steps is fixed."""
     size = word_slots + STATISTICS + LENGTH_SLOTS
@@ -179,10 +186,7 @@ def score(docs: DataFrame, model: Machine, into: str = "score") -> DataFrame:
         machine = shared.value
         slots = _Slots(machine.word_slots)
         for texts, lengths in batches:
-            out = np.zeros(0)
-            if len(texts):
-                out = scores(machine, *vectors(list(texts), lengths.to_numpy(np.float64), slots))
-            yield pd.Series(out)
+            yield pd.Series(text_scores(machine, list(texts), lengths.to_numpy(np.float64), slots))
 
     return docs.withColumn(into, scored(raw_text("text"), F.col("n_chars").cast("double")))
 
