@@ -8,9 +8,13 @@ one order for all texts, and two texts that are similar enough share one of thei
 hold early would make pairs with the square of their number, so it is moved to the end of the
 order, exactly counted, and the texts that held it get others in its place.
 
+Shingles are moved until none is held early by too many, because those that remain make the pairs: in a group
+of near copies the texts that differ most then have only shingles of their own early and meet no one. Of the shingles
+that the same texts hold early one is enough, the first in the order.
+
 A text meets a leader of each of its early shingles, then another, then those in other components
-that are left. Two texts that meet are compared by their early shingles, which already rules most pairs
-out: what both have up to the same hash is known exactly. The sets of the others are compared,
+that are left. Two texts that meet are compared by the parities of their shingles' numbers on some bits, which take
+a fraction of the room of the shingles and rule nearly all dissimilar pairs out. The sets of the others are compared,
 each pair once.
 
 NULL and empty texts and texts without words are one group. Fewer words than a shingle make one
@@ -27,18 +31,20 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
 from tradeloom.llm import simhash
 from tradeloom.llm.common import BROADCAST_BYTES, bounded_batches, by_bytes, raw_text, sized
 from tradeloom.llm.components import components
-from tradeloom.session import stored, written
+from tradeloom.session import shuffles_freed, stored, written
 
 WIDTH = 5
 #: Texts that may hold a shingle early, rounds in which shingles are moved to the end, texts of a shingle that meet in a slice.
-TOO_MANY, TURNS, SLICE = 32, 2, 512
+TOO_MANY, TURNS, SLICE = 32, 8, 512
 #: Times that the texts of a shingle meet a leader.
 LED = 2
+#: What is known of a text besides its shingles.
+_TEXT = ("key", "hash", "copied", "n")
 #: Bytes of an Arrow batch: shingles take many times the room of their texts.
 BATCH = 1 << 20
 
@@ -90,7 +96,26 @@ def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
     return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
 
 
-@F.pandas_udf(StructType().add("key", LongType()).add("n", IntegerType()).add("fp", LongType()).add("early", ArrayType(LongType())))
+def parity(held: np.ndarray) -> bytes:
+    """Whether an even or odd number of these shingles falls on each of at least ``2 n`` bits, by their lowest bits."""
+    bits = max(64, 1 << (2 * len(held) - 1).bit_length()) if len(held) else 64
+    return np.packbits(np.bincount((held.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def parities_may_be_similar(n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
+    """Whether sets of these sizes and parities can have a Jaccard index of 0.8.
+
+    Every bit that differs stands for a shingle at least that only one of them has. The longer one is folded.
+    """
+    if 5 * min(n_a, n_b) < 4 * max(n_a, n_b):
+        return False
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return 9 * int(np.bitwise_count(x ^ y).sum()) <= n_a + n_b
+
+
+@F.pandas_udf(StructType().add("key", LongType()).add("n", IntegerType()).add("fp", LongType()).add("early", ArrayType(LongType())).add("parity", BinaryType()))
 def _marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         rows = []
@@ -99,8 +124,8 @@ def _marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             prints = simhash.majorities(np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))).view(np.int64)
             for fp, hashes in zip(prints.tolist(), each, strict=True):
                 held = np.unique(hashes.view(np.int64))
-                rows.append((xxhash.xxh64_intdigest(held.tobytes()) - (1 << 63), len(held), fp, early(held)))
-        yield pd.DataFrame(rows, columns=["key", "n", "fp", "early"])
+                rows.append((xxhash.xxh64_intdigest(held.tobytes()) - (1 << 63), len(held), fp, early(held), parity(held)))
+        yield pd.DataFrame(rows, columns=["key", "n", "fp", "early", "parity"])
 
 
 def may_be_similar(n_a: int, n_b: int, a: np.ndarray, b: np.ndarray) -> bool:
@@ -159,59 +184,49 @@ class _Search:
 
     def members(self) -> DataFrame:
         """``(s, key, n, at)``: the early shingles of texts that another text holds early too."""
-        again = self.docs.sparkSession.range(0).selectExpr("id AS key", "id AS hash", "id > 0 AS copied", "int(id) AS n", "array(id) AS early", "array(id) AS late")
-        late = again.select(F.col("key").alias("s"))
-        older = ExitStack()
-        for turn in range(TURNS + 1):
-            with ExitStack() as counts:
-                current = self._current(again)
-                shared = self.keep(current.select("key", F.explode("early").alias("s")).groupBy("s").count().filter("count > 1"), "shared", counts)
-                hot = self.keep(shared.filter(F.col("count") > TOO_MANY).select("s").join(late, "s", "left_anti"), "hot", counts)
-                if turn == TURNS or hot.isEmpty():
-                    each = current.select("key", "n", F.posexplode("early").alias("at", "s"))
-                    members = self.keep(each.join(sized(shared.select("s"), shared.count(), 16), "s").select("s", "key", "n", "at"), "members")
+        current = self.texts.select(*_TEXT, "early")
+        new = current.select("early")
+        late, n_late = self.docs.sparkSession.range(0).select(F.col("id").alias("s")), 0
+        with ExitStack() as moves:
+            for _ in range(TURNS):
+                # After the first turn, only what the last one brought to the front can have become hot.
+                many = new.select(F.explode("early").alias("s")).groupBy("s").count().filter(F.col("count") > TOO_MANY)
+                hot = self.keep(many.select("s").join(sized(late, n_late, 16), "s", "left_anti"), "hot", moves)
+                n_hot = hot.count()
+                if not n_hot:
                     break
-                late = self.keep(late.unionByName(hot), "late")
-            again, newer = self._moved(again, late)
-            older.close()
-            older = newer
-        older.close()
-        return members
+                late, n_late = late.unionByName(hot), n_late + n_hot
+                changed, n = self._moved(current, sized(hot, n_hot, 16), late, n_late, moves)
+                new = changed.select(F.filter("early", lambda s: s > F.col("top")).alias("early"))
+                current = current.join(sized(changed.select("key"), n, 16), "key", "left_anti").unionByName(changed.drop("top"))
+            each = current.select("key", "n", F.posexplode("early").alias("at", "s"))
+            # Of the shingles that the same texts hold early, their first is the first that any two of them share.
+            held = each.groupBy("s").agg(F.count("*").alias("many"), F.bit_xor("key").alias("xor"), F.min("at").alias("at")).filter("many > 1")
+            shared = self.keep(held.groupBy("many", "xor").agg(F.min_by("s", "at").alias("s")), "shared", moves)
+            return self.keep(each.join(sized(shared.select("s"), shared.count(), 16), "s").select("s", "key", "n", "at"), "members")
 
-    def _current(self, again: DataFrame) -> DataFrame:
-        """All texts with their early shingles; ``again`` has those that differ from the marks."""
-        plain = self.texts.join(sized(again.select("key"), again.count(), 16), "key", "left_anti")
-        return plain.select("key", "n", "early").unionByName(again.select("key", "n", "early"))
+    def _moved(self, current: DataFrame, hot: DataFrame, late: DataFrame, n_late: int, moves: ExitStack) -> tuple[DataFrame, int]:
+        """The texts with a hot shingle early, and their number; now no shingle in ``late`` is before others.
 
-    def _moved(self, again: DataFrame, late: DataFrame) -> tuple[DataFrame, ExitStack]:
-        """``again`` after no text has a shingle in ``late`` that is not at its end, and what holds it.
+        ``top`` is the last of a text's early shingles before, but for late ones.
 
         A text's shingles take more room than the text, so they stay in the task that makes them: they are compared there
         with all late ones, or those that are late are joined first if they are too many to be sent.
         """
-        n_late, holding = late.count(), ExitStack()
-        columns = ["key", "hash", "copied", "n"]
-        look = self.texts.select(*columns, "early", F.array().cast("array<long>").alias("late"))
-        look = look.join(sized(again.select("key"), again.count(), 16), "key", "left_anti").unionByName(again)
-        side = sized(late, n_late, 16)
         with ExitStack() as now:
-            hit = look.select(*columns, F.explode(F.array_except("early", "late")).alias("s")).join(side, "s")
-            hit = self.keep(hit.select(*columns).distinct(), "moved", now)
+            hit = current.select(*_TEXT, F.array_max("early").alias("top"), F.explode("early").alias("s")).join(hot, "s").drop("s").distinct()
+            hit = self.keep(hit, "moved", now)
             n = hit.count()
-            if not n:
-                return again, holding
             if n_late * 16 <= BROADCAST_BYTES:
                 sets = self.with_texts(hit, n, 40).withColumn("known", F.array().cast("array<long>"))
                 moved = _after(late)
             else:
                 each = self.with_texts(hit, n, 40).select("key", F.explode(_shingles("text")).alias("s"))
-                found = each.join(side, "s").groupBy("key").agg(F.collect_list("s").alias("known"))
+                found = each.join(sized(late, n_late, 16), "s").groupBy("key").agg(F.collect_list("s").alias("known"))
                 known = self.keep(hit.join(found, "key"), "known", now)
                 room = known.agg(F.sum(F.size("known") * 8 + 64)).first()[0] or 0
                 sets, moved = self.with_texts(known, 1, room), _after(None)
-            changed = sets.select(*columns, moved("text", "known").alias("m")).select(*columns, "m.*")
-            kept = again.join(sized(hit.select("key"), n, 16), "key", "left_anti")
-            return self.keep(kept.unionByName(changed), "again", holding), holding
+            return self.keep(sets.select(*_TEXT, "top", moved("text", "known")["early"].alias("early")), "again", moves), n
 
     def open_members(self, members: DataFrame, now: ExitStack) -> DataFrame:
         named = members.join(sized(self.found, self.found.count(), 24), members["key"] == self.found["node"], "left")
@@ -226,12 +241,12 @@ class _Search:
         if not pairs.isEmpty():
             self.compared = self.compared.unionByName(pairs)
             with ExitStack() as now:
-                hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("early").alias("held")), _hopeful, now), "hopeful", now)
+                hopeful = self.keep(self._met(pairs, self.texts.select("key", "n", F.col("parity").alias("held")), _hopeful, now), "hopeful", now)
                 asked = self.keep(hopeful.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked", now)
                 n = asked.count()
                 keys = self.texts.select("key", "hash", "copied", "n").join(sized(asked, n, 16), "key")
                 sets = self.with_texts(keys, n, 40).select("key", "n", _shingles("text").alias("held"))
-                self.links = self.links.unionByName(self.keep(self._met(hopeful, self.keep(sets, "sets", now), _similar, now), "links"))
+                self.links = self.links.unionByName(self.keep(self._met(hopeful, sets, _similar, now), "links"))
         self.found = written(components(self.links, "a", "b"), "found")
 
     def _met(self, pairs: DataFrame, sets: DataFrame, alike, now: ExitStack) -> DataFrame:
@@ -249,13 +264,13 @@ class _Search:
 
 def _hopeful(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        good = [may_be_similar(*row) for row in pdf[["n_a", "n_b", "held_a", "held_b"]].itertuples(index=False, name=None)]
+        good = [parities_may_be_similar(*row) for row in pdf[["n_a", "n_b", "held_a", "held_b"]].itertuples(index=False, name=None)]
         yield pdf.loc[np.array(good, bool), ["a", "b"]]
 
 
 def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        good = [9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b)) for a, b in zip(pdf["held_a"], pdf["held_b"], strict=True)]
+        good = [may_be_similar(len(a), len(b), early(a), early(b)) and 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b)) for a, b in zip(pdf["held_a"], pdf["held_b"], strict=True)]
         yield pdf.loc[np.array(good, bool), ["a", "b"]]
 
 
@@ -267,9 +282,12 @@ def _may(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
 def _with_leaders(members: DataFrame, now: ExitStack, turn: int) -> DataFrame:
     """Each member of a shingle with the shingle's leader, if they aren't linked yet.
 
-    Every shingle and turn has a leader of its own, so a text of a large group meets many of it.
+    The first leader is the text that holds the shingle earliest: it has the fewest shingles of its own, so in a group of
+    near copies it is close to what they are copies of. Afterwards every shingle has a leader of its own, so a text of a
+    large group meets many of it.
     """
-    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), F.xxhash64("key", "s", F.lit(turn))).alias("l"))
+    order = F.xxhash64("key", "s", F.lit(turn)) if turn else F.struct("at", F.xxhash64("key"))
+    leaders = members.groupBy("s").agg(F.min_by(F.struct("key", "n", "at", "component"), order).alias("l"))
     leaders = now.enter_context(stored(leaders, "leaders"))
     met = members.join(sized(leaders, leaders.count(), 48), "s").filter((F.col("component") != F.col("l.component")) & _may(F.col("n"), F.col("at"), F.col("l.n"), F.col("l.at")))
     return met.select(F.col("l.key").alias("a"), F.col("key").alias("b")).distinct()
@@ -289,7 +307,7 @@ def _all_left(members: DataFrame, now: ExitStack) -> DataFrame:
 def _rows(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, text hash, the set's hash, a set's hash that names the group, component_id."""
     bounded_batches(docs.sparkSession, BATCH)
-    with ExitStack() as held:
+    with shuffles_freed(docs.sparkSession), ExitStack() as held:
         search = _Search(docs, held)
         search.compare(search.by_fingerprint())
         members = search.members()
