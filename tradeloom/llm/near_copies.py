@@ -8,11 +8,11 @@ one order for all texts, and two texts that are similar enough share one of thei
 hold early would make pairs with the square of their number, so it is moved to the end of the
 order, exactly counted, and the texts that held it get others in its place.
 
-Shingles are moved until none is held early by too many, because those that remain make the pairs: in a group
+Shingles are moved in several rounds, because those that remain make the pairs: in a group
 of near copies the texts that differ most then have only shingles of their own early and meet no one. Of the shingles
 that the same texts hold early one is enough, the first in the order.
 
-A text meets a leader of each of its early shingles, then another, then those in other components
+A text meets a leader of each of its early shingles, then those in other components
 that are left. Two texts that meet are compared by the parities of their shingles' numbers on some bits, which take
 a fraction of the room of the shingles and rule nearly all dissimilar pairs out. The sets of the others are compared,
 each pair once.
@@ -40,9 +40,9 @@ from tradeloom.session import shuffles_freed, stored, written
 
 WIDTH = 5
 #: Texts that may hold a shingle early, rounds in which shingles are moved to the end, texts of a shingle that meet in a slice.
-TOO_MANY, TURNS, SLICE = 32, 8, 512
+TOO_MANY, TURNS, SLICE = 32, 5, 512
 #: Times that the texts of a shingle meet a leader.
-LED = 2
+LED = 1
 #: What is known of a text besides its shingles.
 _TEXT = ("key", "hash", "copied", "n")
 #: Bytes of an Arrow batch: shingles take many times the room of their texts.
