@@ -1,6 +1,7 @@
 """Data tests."""
 
 import hashlib
+from functools import reduce
 
 import pytest
 from conftest import at, rows
@@ -97,3 +98,29 @@ def test_hash_keys_are_counted_as_bytes_and_stay_apart_from_other_texts(spark):
     assert len(set(got)) == len(set(texts)) and len(got[0]) == 17
     df = spark.createDataFrame([(x,) for x in texts], "k string")
     assert rows(q.run_suite({"t": df}, [Rule("t", "k", "unique")]), "failures") == [(1,)]
+
+
+def test_a_key_is_yielded_once_for_all_rules_that_count_it(spark, monkeypatch):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "pk bigint, name string")
+    tables = {"p": parent, "c": spark.createDataFrame([(1, "1"), (3, "x"), (None, None)], "fk int, text string")}
+    rules = [
+        *q.key("p", "pk"), Rule("c", "fk", "relationships", ("p", "pk")), Rule("c", "text", "relationships", ("p", "pk"), "warn"),
+        Rule("c", "fk", "relationships", ("p", "pk"), "warn"), Rule("c", "fk", "unique"), Rule("c", "fk", "null_fraction", 0.3),
+    ]
+    yielded = []
+    monkeypatch.setattr(q, "reduce", lambda f, frames: yielded.extend(x.count() for x in frames) or reduce(f, frames))
+    got = [(r.test, r.failures, r.status) for r in q.run_suite(tables, rules).collect()]
+    assert got == [
+        ("unique", 1, "fail"), ("not_null", 1, "fail"), ("relationships", 1, "fail"), ("relationships", 1, "warn"),
+        ("relationships", 1, "warn"), ("unique", 0, "pass"), ("null_fraction", 1, "fail"),
+    ]
+    # Three keys of the parent and the row that has none; two rows of the child four times, and each row for its NULLs.
+    assert yielded == [4, 11]
+
+
+def test_whole_numbers_are_counted_as_their_bytes(spark):
+    numbers = [0, 1, -1, 15, 16, 255, 256, 2**40, -(2**40), 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(x,) for x in [*numbers, None, 16]], "n bigint")
+    keys = [r.k for r in df.select(q._number_key(F.col("n")).alias("k")).collect()]
+    assert len({bytes(k) for k in keys if k is not None}) == len(numbers) and max(len(k) for k in keys if k) == 8
+    assert rows(q.run_suite({"t": df}, [Rule("t", "n", "unique")]), "failures") == [(1,)]
