@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tradeloom.plans.star import StarBuild
 from tradeloom.session import in_parallel, shuffles_freed, written
 from tradeloom.sources.tables import KeyedTable
 
@@ -48,3 +49,12 @@ def test_side_by_side_blocks_put_the_setting_back(spark):
 
     assert set(in_parallel(spark, {str(i): partial(block, i) for i in range(4)}, 4).values()) == {"true"}
     assert spark.conf.get(NAME) == before
+
+
+def test_data_tests_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    days = spark.sql("SELECT DATE'2024-01-01' AS date, 'x' AS holiday_name, true AS is_public_holiday")
+    found = StarBuild(spark, {}, str(tmp_path), None, None, days.unionByName(days)).check()
+    assert left_after(spark, before) == set()
+    got = {(r.column_name, r.test): r.failures for r in found.collect() if r.status != "skipped"}
+    assert got == {("date", "unique"): 1, ("date", "not_null"): 0, ("holiday_name", "not_null"): 0, ("is_public_holiday", "not_null"): 0}
