@@ -167,3 +167,17 @@ def test_only_keys_of_the_batch_are_grouped(spark, tmp_path):
     assert rows(got, "*") == [(1, "a"), (2, "B"), (None, "c")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "first(" not in plan
+
+
+def test_a_merge_shuffles_keys_only(spark):
+    target, batch = t(spark, (1, "a"), (2, "b"), (None, "c")), t(spark, (2, "B"), (3, "C"), (None, "d"))
+    got = merge_rows(target, batch, ["id"])
+    assert sorted(map(str, rows(got, "*"))) == sorted(map(str, [(1, "a"), (2, "B"), (3, "C"), (None, "c"), (None, "d")]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(id" not in plan
+
+
+def test_many_matched_keys_are_not_sent_whole(spark, monkeypatch):
+    monkeypatch.setattr("tradeloom.operators.merge.MOST_SENT", 1)
+    target, batch = t(spark, *[(i, "a") for i in range(5)]), t(spark, *[(i, "B") for i in range(3, 7)])
+    assert rows(merge_rows(target, batch, ["id"]), "*") == [(0, "a"), (1, "a"), (2, "a"), (3, "B"), (4, "B"), (5, "B"), (6, "B")]
