@@ -8,8 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tradeloom.catalog import feeds
 from tradeloom.plans.star import StarBuild
-from tradeloom.session import in_parallel, shuffles_freed, written
+from tradeloom.session import folder_exists, in_parallel, shuffles_freed, written
 from tradeloom.sources.tables import KeyedTable
 
 NAME = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -58,3 +59,24 @@ def test_data_tests_leave_no_shuffle_files(spark, tmp_path):
     assert left_after(spark, before) == set()
     got = {(r.column_name, r.test): r.failures for r in found.collect() if r.status != "skipped"}
     assert got == {("date", "unique"): 1, ("date", "not_null"): 0, ("holiday_name", "not_null"): 0, ("is_public_holiday", "not_null"): 0}
+
+
+def test_a_build_that_keeps_one_version_frees_the_others_at_once(spark, tmp_path):
+    star = StarBuild(spark, {}, str(tmp_path), None, None, None, keep_versions=1)
+    star._kept("dim", spark.range(3))
+    assert star._kept("dim", spark.range(5)).count() == 5
+    assert len(list((tmp_path / "dim" / "data").iterdir())) == 1
+
+
+def test_a_feed_landed_for_a_block_goes_with_it(spark, monkeypatch):
+    item = spark.createDataFrame([('{"id": 1, "updated_at": "2026-01-01T00:00:00Z"}',)], "item string")
+    monkeypatch.setitem(feeds.ITEMS, "orders", lambda spark, sf: item)
+    monkeypatch.setattr(feeds, "_landed", {})
+    with feeds.landed(spark, "/nowhere", "orders") as orders:
+        assert [r.id for r in orders.collect()] == [1]
+        [path] = feeds._landed.values()
+    assert not feeds._landed and not folder_exists(spark, path)
+    kept = feeds.raw(spark, "/nowhere", "orders")
+    with feeds.landed(spark, "/nowhere", "orders"):
+        pass
+    assert kept.count() == 1 and len(feeds._landed) == 1
